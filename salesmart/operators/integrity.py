@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from salesmart.operators.unions import union_by_name
 
@@ -18,36 +19,41 @@ class ForeignKey:
     pk: str
 
 
-def _side(df: DataFrame, column: str, link: ForeignKey, is_child: bool) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).select(
-        F.lit(link.child).alias("child"),
-        F.lit(link.fk).alias("fk"),
-        F.lit(link.parent).alias("parent"),
-        F.trim(F.col(column).cast("string")).alias("key_value"),
-        F.lit(is_child).alias("in_child"),
-        F.lit(not is_child).alias("in_parent"),
+def _comparable(child: DataFrame, parent: DataFrame, link: ForeignKey) -> tuple[Column, Column]:
+    """Both key columns in one type: whole numbers as numbers, anything else as trimmed text (``1`` meets ``"1"``)."""
+    kinds = (child.schema[link.fk].dataType, parent.schema[link.pk].dataType)
+    if all(isinstance(kind, IntegralType) for kind in kinds):
+        return F.col(link.fk).cast("bigint"), F.col(link.pk).cast("bigint")
+    return F.trim(F.col(link.fk).cast("string")), F.trim(F.col(link.pk).cast("string"))
+
+
+def _presence(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
+    fk, pk = _comparable(child, parent, link)
+    used = child.select(fk.alias("key"), F.lit(True).alias("in_child"), F.lit(False).alias("in_parent"))
+    given = parent.select(pk.alias("key"), F.lit(False).alias("in_child"), F.lit(True).alias("in_parent"))
+    return (
+        used.unionByName(given)
+        .where(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.max("in_child").alias("in_child"), F.max("in_parent").alias("in_parent"))
+        .select(
+            F.lit(link.child).alias("child"),
+            F.lit(link.fk).alias("fk"),
+            F.lit(link.parent).alias("parent"),
+            F.col("key").cast("string").alias("key_value"),
+            "in_child",
+            "in_parent",
+        )
     )
 
 
 def key_presence(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
     """One row per link and key value, saying on which side the value occurs.
 
-    Both sides of all links go through one grouped aggregation instead of a distinct and a join each. Values
-    are reduced where they are read, so a value held by most rows costs one row per task.
+    The two sides of a link meet in one grouped aggregation instead of two distincts and a join. Values are
+    reduced where they are read, so a value held by most rows costs one row per task.
     """
-    sides = [
-        side
-        for link in links
-        for side in (
-            _side(tables[link.child], link.fk, link, True),
-            _side(tables[link.parent], link.pk, link, False),
-        )
-    ]
-    return (
-        union_by_name(sides)
-        .groupBy("child", "fk", "parent", "key_value")
-        .agg(F.max("in_child").alias("in_child"), F.max("in_parent").alias("in_parent"))
-    )
+    return union_by_name(_presence(tables[link.child], tables[link.parent], link) for link in links)
 
 
 def orphans(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from salesmart.functions.values import percent
+from salesmart.operators.unions import union_by_name
 
 KEY_KEYWORDS = ("id", "code", "number", "key")
 
 
-def _empty(column: str) -> Column:
-    """NULL or empty text. The cast keeps the comparison valid for every type."""
-    return F.col(f"`{column}`").isNull() | (F.col(f"`{column}`").cast("string") == "")
+def _empty(field: StructField) -> Column:
+    """NULL, or empty where the column is text; other types have no empty value to compare with."""
+    column = F.col(f"`{field.name}`")
+    return column.isNull() | (column == "") if isinstance(field.dataType, StringType) else column.isNull()
 
 
 def profile_shape(df: DataFrame, source: str) -> DataFrame:
@@ -26,7 +29,7 @@ def profile_shape(df: DataFrame, source: str) -> DataFrame:
 def profile_nulls(df: DataFrame, source: str) -> DataFrame:
     """Empty values per column: one aggregate row over all columns, turned into one row per column."""
     columns = df.columns
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(_empty(c)).alias(c) for c in columns])
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(_empty(f)).alias(f.name) for f in df.schema.fields])
     return (
         counts.unpivot(["_rows"], columns, "column_name", "null_count")
         .select(
@@ -42,24 +45,26 @@ def profile_nulls(df: DataFrame, source: str) -> DataFrame:
 def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS) -> DataFrame:
     """Uniqueness of every column whose name looks like a key. NULL counts as one value.
 
-    The columns are stacked and counted per (column, value) first, so a frequent value is reduced before
-    the shuffle; the per-column totals come from those counts.
+    One grouped count per candidate: each reads its own column only, in its own type, and a frequent value is
+    reduced before the shuffle.
     """
-    columns = [c for c in df.columns if any(k in c.lower() for k in keywords)]
-    stacked = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    return (
-        stacked.groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-        .groupBy("column_name")
-        .agg(F.sum("n").alias("total_rows"), F.count("*").alias("distinct_count"))
-        .select(
-            F.lit(source).alias("source"),
-            "column_name",
-            "total_rows",
-            "distinct_count",
-            (F.col("total_rows") - F.col("distinct_count")).alias("duplicates"),
-            (F.col("total_rows") == F.col("distinct_count")).alias("is_key"),
+
+    def uniqueness(column: str) -> DataFrame:
+        total, distinct = F.col("total_rows"), F.col("distinct_count")
+        return (
+            df.groupBy(F.col(f"`{column}`")).agg(F.count("*").alias("n"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("*").alias("distinct_count"))
+            .select(
+                F.lit(source).alias("source"),
+                F.lit(column).alias("column_name"),
+                total,
+                distinct,
+                (total - distinct).alias("duplicates"),
+                (total == distinct).alias("is_key"),
+            )
         )
-    )
+
+    candidates = [c for c in df.columns if any(k in c.lower() for k in keywords)]
+    if not candidates:
+        raise ValueError(f"no column of {source} contains any of {keywords}")
+    return union_by_name(uniqueness(c) for c in candidates)

@@ -67,8 +67,12 @@ def with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def with_shipment(lines: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Shipper and corrected date of the line; the other shipment columns would be a second truth."""
-    return splittable_join(lines, shipments.select(*LINE_KEY, "shipper_id", "shipment_date"), LINE_KEY, "left")
+    """Shipper and corrected date of the line; the other shipment columns would be a second truth.
+
+    Shipments are as many as the lines, so they are never a side to broadcast, whatever their files' size says.
+    """
+    shipped = shipments.select(*LINE_KEY, "shipper_id", "shipment_date")
+    return splittable_join(lines, shipped.hint("merge"), LINE_KEY, "left")
 
 
 def with_measures(lines: DataFrame, products: DataFrame) -> DataFrame:

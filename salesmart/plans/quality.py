@@ -11,7 +11,6 @@ from salesmart.operators.rules import (
     ERROR,
     WARNING,
     RowRule,
-    as_violations,
     orphan_violations,
     row_violations,
     text,
@@ -49,38 +48,46 @@ def line_rules() -> list[RowRule]:
     ]
 
 
-def negative_margin(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Tested on the unrounded margin, worded with rounded amounts; lines without a known cost stay out."""
-    losing = lines.join(products.select("product_id", "unit_cost"), "product_id").where(raw_margin() < 0)
-    detail = text(
-        "line margin is negative: extended_amount ", extended_amount(), " vs. cost ", line_cost(),
-        " -- discount of ", F.round(F.col("discount") * 100, 1), "% likely too aggressive",
-    )
-    return as_violations(losing, "NEGATIVE_MARGIN", WARNING, detail)
+def product_rules() -> list[RowRule]:
+    """Rules on a line left-joined to its product. The margin is tested unrounded and worded with rounded amounts;
+    without a known cost it is NULL and breaks nothing."""
+    return [
+        RowRule("ORPHAN_PRODUCT_ID", ERROR, F.col("product_id").isNotNull() & F.col("known_product").isNull(),
+                text("product_id ", F.col("product_id"), " not found in gold.dim_product")),
+        RowRule("NEGATIVE_MARGIN", WARNING, raw_margin() < 0, text(
+            "line margin is negative: extended_amount ", extended_amount(), " vs. cost ", line_cost(),
+            " -- discount of ", F.round(F.col("discount") * 100, 1), "% likely too aggressive",
+        )),
+    ]
 
 
 def dq_order_details(lines: DataFrame, products: DataFrame) -> DataFrame:
-    return union_by_name([
-        orphan_violations(lines, "product_id", products, "product_id", "ORPHAN_PRODUCT_ID", "gold.dim_product"),
-        row_violations(lines, line_rules()),
-        negative_margin(lines, products),
-    ])
+    """Row rules stay free of the join, so their predicates reach the scan; both product rules share one join."""
+    cost = products.select(F.col("product_id").alias("known_product"), "unit_cost")
+    priced = lines.join(cost, F.col("product_id") == F.col("known_product"), "left")
+    return union_by_name([row_violations(lines, line_rules()), row_violations(priced, product_rules())])
 
 
 def shipments_before_order(shipments: DataFrame, orders: DataFrame) -> DataFrame:
     return (
-        shipments.select("order_id", "line_no", "shipment_date")
-        .join(orders.select("order_id", "order_date"), "order_id")
+        _paired(orders, shipments)
         .where(F.col("shipment_date") < F.col("order_date"))
+        .select("order_id", "line_no", "shipment_date", "order_date")
+    )
+
+
+def _paired(orders: DataFrame, shipments: DataFrame) -> DataFrame:
+    ordered = orders.select("order_id", "order_date", F.col("employee_id").alias("order_employee_id"))
+    shipped = shipments.select(
+        "order_id", "line_no", "shipment_date", F.col("employee_id").alias("shipment_employee_id")
     )
+    return ordered.join(shipped, "order_id")
 
 
 def employee_mismatches(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """Lines whose shipment names another employee than the order; NULL on either side is no mismatch."""
-    sold_by = orders.select("order_id", F.col("employee_id").alias("order_employee_id"))
-    shipped_by = shipments.select("order_id", "line_no", F.col("employee_id").alias("shipment_employee_id"))
     return (
-        sold_by.join(shipped_by, "order_id")
+        _paired(orders, shipments)
         .where(F.col("order_employee_id") != F.col("shipment_employee_id"))
         .select("order_id", "line_no", "order_employee_id", "shipment_employee_id")
     )
@@ -108,30 +115,35 @@ def employee_default_pattern(mismatches: DataFrame, share: float = DEFAULT_SHARE
     )
 
 
-def default_pattern_violations(mismatches: DataFrame, share: float = DEFAULT_SHARE) -> DataFrame:
-    # Bounded by 1 / share rows (see above), hence the broadcast.
-    suspects = F.broadcast(employee_default_pattern(mismatches, share))
-    detail = text(
-        "shipment_employee_id ", F.col("shipment_employee_id"),
-        " differs from order_employee_id ", F.col("order_employee_id"),
-        " -- this employee_id accounts for ", _share_pct(F.col("mismatch_count"), F.col("total_mismatches")),
-        "% of all ", F.col("total_mismatches"),
-        " Orders/Shipments employee_id mismatches -- likely a source-system default value",
-    )
-    return as_violations(
-        mismatches.join(suspects, "shipment_employee_id"), "EMPLOYEE_ID_DEFAULT_PATTERN", WARNING, detail
-    )
+def order_rules() -> list[RowRule]:
+    """Rules on a shipped line next to its order and, where its employee is suspected, that employee's counts."""
+    shipped, ordered = F.col("shipment_date"), F.col("order_date")
+    ships, sells = F.col("shipment_employee_id"), F.col("order_employee_id")
+    return [
+        RowRule("SHIPMENT_BEFORE_ORDER", ERROR, shipped < ordered,
+                text("shipment_date ", shipped, " is earlier than order_date ", ordered)),
+        RowRule("EMPLOYEE_ID_DEFAULT_PATTERN", WARNING, F.col("mismatch_count").isNotNull() & (ships != sells), text(
+            "shipment_employee_id ", ships, " differs from order_employee_id ", sells,
+            " -- this employee_id accounts for ", _share_pct(F.col("mismatch_count"), F.col("total_mismatches")),
+            "% of all ", F.col("total_mismatches"),
+            " Orders/Shipments employee_id mismatches -- likely a source-system default value",
+        )),
+    ]
 
 
-def dq_shipments(shipments: DataFrame, orders: DataFrame, shippers: DataFrame) -> DataFrame:
-    early = text(
-        "shipment_date ", F.col("shipment_date"), " is earlier than order_date ", F.col("order_date")
+def dq_shipments(
+    shipments: DataFrame, orders: DataFrame, shippers: DataFrame, share: float = DEFAULT_SHARE
+) -> DataFrame:
+    """The suspects come from a first pass over the mismatches; both order rules are then read off one join."""
+    suspects = employee_default_pattern(employee_mismatches(orders, shipments), share).select(
+        "shipment_employee_id", "mismatch_count", "total_mismatches"
     )
+    # At most 1 / share employees can be suspected, hence the broadcast.
+    paired = _paired(orders, shipments).join(F.broadcast(suspects), "shipment_employee_id", "left")
     return union_by_name([
         orphan_violations(
             shipments, "shipper_id", shippers, "shipper_id", "ORPHAN_SHIPPER_ID", "gold.dim_shipper"),
-        as_violations(shipments_before_order(shipments, orders), "SHIPMENT_BEFORE_ORDER", ERROR, early),
-        default_pattern_violations(employee_mismatches(orders, shipments)),
+        row_violations(paired, order_rules()),
     ])
 
 

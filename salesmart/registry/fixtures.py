@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamp
@@ -20,12 +20,8 @@ SOURCE_SYSTEM = "SALES_FILES"
 BUDGET_YEARS = [str(year) for year in range(1995, 2002)]
 
 
-def _us_date(day: Column) -> Column:
-    return F.concat_ws("/", F.month(day).cast("string"), F.dayofmonth(day).cast("string"), F.year(day).cast("string"))
-
-
-def _money(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("decimal(12,2)")
+# The given line numbers repeat within an order; part and quantity tell the lines apart.
+LINE_NO = "l_partkey * 1000 + CAST(l_quantity AS BIGINT) * 10 + l_linenumber AS line_no"
 
 
 class SalesSources:
@@ -34,188 +30,152 @@ class SalesSources:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A lazy scan; files and schema of a table are listed once per query, however often it is used."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # -- raw sources ------------------------------------------------------------------------------------
 
     def divisions(self) -> DataFrame:
-        names = F.when(F.col("r_regionkey") == 1, F.array("r_name", F.lit("Central America"))).otherwise(
-            F.array("r_name")
-        )
-        return self.table("region").select(
-            (F.col("r_regionkey") + 1).alias("division_id"), F.explode(names).alias("division_name")
+        return self.table("region").selectExpr(
+            "r_regionkey + 1 AS division_id",
+            "explode(if(r_regionkey = 1, array(r_name, 'Central America'), array(r_name))) AS division_name",
         )
 
     def customers(self) -> DataFrame:
-        key, nation = F.col("c_custkey"), F.col("c_nationkey")
-        return (
-            self.table("customer")
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("customer_id"),
-                F.col("c_name").alias("company_name"),
-                F.concat(F.lit("Contact "), key.cast("string")).alias("contact_name"),
-                F.concat(F.lit("City "), nation.cast("string")).alias("city"),
-                F.col("n_name").alias("country"),
-                F.when(nation % 5 == 1, F.concat(F.lit("ST-"), nation.cast("string"))).alias("state_province"),
-                (nation % 5 + 1).alias("division_id"),
-                F.concat(key.cast("string"), F.lit(" Main Street")).alias("address"),
-                F.concat(F.lit("555-"), key.cast("string")).alias("phone"),
-                F.when(key % 3 == 0, F.concat(F.lit("556-"), key.cast("string"))).alias("fax"),
-                (key % 90000 + 10000).cast("string").alias("postal_code"),
-                F.concat_ws(
-                    "/",
-                    (key % 12 + 1).cast("string"), (key % 28 + 1).cast("string"), (key % 50 + 1950).cast("string"),
-                ).alias("birth_date"),
-            )
+        return self.table("customer").join(self.table("nation"), F.expr("c_nationkey = n_nationkey")).selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS company_name",
+            "concat('Contact ', c_custkey) AS contact_name",
+            "concat('City ', c_nationkey) AS city",
+            "n_name AS country",
+            "CASE WHEN c_nationkey % 5 = 1 THEN concat('ST-', c_nationkey) END AS state_province",
+            "c_nationkey % 5 + 1 AS division_id",
+            "concat(c_custkey, ' Main Street') AS address",
+            "concat('555-', c_custkey) AS phone",
+            "CASE WHEN c_custkey % 3 = 0 THEN concat('556-', c_custkey) END AS fax",
+            "CAST(c_custkey % 90000 + 10000 AS STRING) AS postal_code",
+            "concat_ws('/', c_custkey % 12 + 1, c_custkey % 28 + 1, c_custkey % 50 + 1950) AS birth_date",
         )
 
-    def _category_id(self) -> Column:
-        return F.substring("p_brand", 7, 10).cast("int")
-
     def categories(self) -> DataFrame:
-        return self.table("part").select(
-            self._category_id().alias("category_id"),
-            F.col("p_brand").alias("category_name"),
-            F.concat(F.lit("All "), F.col("p_brand")).alias("description"),
+        return self.table("part").selectExpr(
+            "CAST(substring(p_brand, 7) AS INT) AS category_id",
+            "p_brand AS category_name",
+            "concat('All ', p_brand) AS description",
         ).distinct()
 
     def products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").select(
-            # Every 97th part sits under another key, which leaves its order lines without a product.
-            F.when(key % 97 == 0, -1 - key).otherwise(key).alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            self._category_id().alias("category_id"),
-            (key % 10 + 1).alias("supplier_id"),
-            F.concat(F.col("p_size").cast("string"), F.lit(" units")).alias("quantity_per_unit"),
-            _money(_money("p_retailprice") * 50).alias("unit_cost"),
-            _money(_money("p_retailprice") * 60).alias("unit_price"),
-            F.col("p_size").alias("units_in_stock"),
-            (key % 20).cast("int").alias("units_on_order"),
+        """Every 97th part sits under another key, which leaves its order lines without a product."""
+        return self.table("part").selectExpr(
+            "CASE WHEN p_partkey % 97 = 0 THEN -1 - p_partkey ELSE p_partkey END AS product_id",
+            "p_name AS product_name",
+            "CAST(substring(p_brand, 7) AS INT) AS category_id",
+            "p_partkey % 10 + 1 AS supplier_id",
+            "concat(p_size, ' units') AS quantity_per_unit",
+            "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 50 AS DECIMAL(12,2)) AS unit_cost",
+            "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 60 AS DECIMAL(12,2)) AS unit_price",
+            "p_size AS units_in_stock",
+            "CAST(p_partkey % 20 AS INT) AS units_on_order",
         )
 
     def suppliers(self) -> DataFrame:
-        return self.table("supplier").select(
-            (F.col("s_suppkey") + 1).alias("supplier_id"), F.col("s_name").alias("company_name")
-        )
+        return self.table("supplier").selectExpr("s_suppkey + 1 AS supplier_id", "s_name AS company_name")
 
     def shippers(self) -> DataFrame:
-        key = F.col("s_suppkey") + 1
-        # Shippers 4 and 5 have no record under their own number.
-        return self.table("supplier").select(
-            F.when(key.isin(4, 5), -key).otherwise(key).alias("shipper_id"), F.col("s_name").alias("company_name")
+        """Shippers 4 and 5 have no record under their own number."""
+        return self.table("supplier").selectExpr(
+            "CASE WHEN s_suppkey + 1 IN (4, 5) THEN -(s_suppkey + 1) ELSE s_suppkey + 1 END AS shipper_id",
+            "s_name AS company_name",
         )
 
     def offices(self) -> DataFrame:
-        return self.table("region").select(
-            (F.col("r_regionkey") + 1).cast("string").alias("office"),
-            F.concat(F.lit("City "), F.col("r_name")).alias("office_city"),
-            F.lit(None).cast("string").alias("office_state_province"),
-            F.col("r_name").alias("office_country"),
+        return self.table("region").selectExpr(
+            "CAST(r_regionkey + 1 AS STRING) AS office",
+            "concat('City ', r_name) AS office_city",
+            "CAST(NULL AS STRING) AS office_state_province",
+            "r_name AS office_country",
         )
 
     def employees(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        president = key == 1
-        return self.table("nation").select(
-            F.concat((key + 1).cast("string"), F.lit(".0")).alias("emp_id"),
-            F.concat(F.lit("Last"), key.cast("string")).alias("last_name"),
-            F.col("n_name").alias("first_name"),
-            F.when(president, "President").otherwise("Sales").alias("title"),
-            F.concat(F.lit("2010-0"), (key % 9 + 1).cast("string"), F.lit("-15")).alias("hire_date"),
-            (key % 5 + 1).cast("string").alias("office"),
-            (key + 100).cast("string").alias("extension"),
-            F.when(~president, "2.0").alias("reports_to"),
-            (key * 1000 + 30000).cast("string").alias("year_salary"),
+        """All text, numbers partly with a spreadsheet's trailing .0."""
+        return self.table("nation").selectExpr(
+            "concat(n_nationkey + 1, '.0') AS emp_id",
+            "concat('Last', n_nationkey) AS last_name",
+            "n_name AS first_name",
+            "if(n_nationkey = 1, 'President', 'Sales') AS title",
+            "concat('2010-0', n_nationkey % 9 + 1, '-15') AS hire_date",
+            "CAST(n_nationkey % 5 + 1 AS STRING) AS office",
+            "CAST(n_nationkey + 100 AS STRING) AS extension",
+            "CASE WHEN n_nationkey <> 1 THEN '2.0' END AS reports_to",
+            "CAST(n_nationkey * 1000 + 30000 AS STRING) AS year_salary",
         )
 
     def orders(self) -> DataFrame:
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        return self.table("orders").select(
-            key.alias("order_id"),
-            F.when(key % 500 == 7, -1 - customer).otherwise(customer).alias("customer_id"),
-            F.when(key % 300 != 0, (key % 25 + 1).cast("int")).alias("employee_id"),
-            (key % 5 + 1).alias("shipper_id"),
-            F.when(key % 701 != 5, _us_date(F.col("o_orderdate"))).alias("order_date"),
-            F.lit(0).alias("total_order"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "CASE WHEN o_orderkey % 500 = 7 THEN -1 - o_custkey ELSE o_custkey END AS customer_id",
+            "CASE WHEN o_orderkey % 300 <> 0 THEN CAST(o_orderkey % 25 + 1 AS INT) END AS employee_id",
+            "o_orderkey % 5 + 1 AS shipper_id",
+            "CASE WHEN o_orderkey % 701 <> 5"
+            " THEN concat_ws('/', month(o_orderdate), day(o_orderdate), year(o_orderdate)) END AS order_date",
+            "0 AS total_order",
         )
 
-    @staticmethod
-    def _line_no() -> Column:
-        """The given line numbers repeat within an order; part and quantity tell the lines apart."""
-        return (
-            F.col("l_partkey") * 1000 + F.col("l_quantity").cast("bigint") * 10 + F.col("l_linenumber")
-        ).cast("bigint")
-
     def order_details(self) -> DataFrame:
-        key = F.col("l_orderkey")
-        return self.table("lineitem").select(
-            key.alias("order_id"),
-            self._line_no().alias("line_no"),
-            F.col("l_partkey").alias("product_id"),
-            F.when(key % 400 == 3, 0).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-            _money(F.when(key % 450 == 4, 0).otherwise(F.col("l_extendedprice"))).alias("unit_price"),
-            F.when(key % 600 == 11, 1.5).otherwise(F.col("l_discount")).cast("decimal(5,2)").alias("discount"),
+        return self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            LINE_NO,
+            "l_partkey AS product_id",
+            "CASE WHEN l_orderkey % 400 = 3 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
+            "CAST(CASE WHEN l_orderkey % 450 = 4 THEN 0 ELSE l_extendedprice END AS DECIMAL(12,2)) AS unit_price",
+            "CAST(CASE WHEN l_orderkey % 600 = 11 THEN 1.5 ELSE l_discount END AS DECIMAL(5,2)) AS discount",
         )
 
     def shipments(self) -> DataFrame:
         """Three export files. Orders with id % 120 = 1 are exported twice, some of them with another shipper."""
-        key = F.col("l_orderkey")
-        shipper = F.col("l_suppkey") % 5 + 1
-        employee = (
-            F.when(key % 15 == 0, 2)
-            .when(key % 97 == 1, (key + 1) % 25 + 1)
-            .otherwise(key % 25 + 1)
+        exported = self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            LINE_NO,
+            "CAST(CASE WHEN l_orderkey % 15 = 0 THEN 2 WHEN l_orderkey % 97 = 1 THEN (l_orderkey + 1) % 25 + 1"
+            " ELSE l_orderkey % 25 + 1 END AS INT) AS employee_id",
+            "l_suppkey % 5 + 1 AS shipper",
+            "add_months(CAST(l_shipdate AS DATE), -108) AS day",
+            "explode(if(l_orderkey % 120 = 1, array(false, true), array(false))) AS again",
         )
-        first = F.struct(
-            shipper.alias("shipper_id"),
-            F.concat(F.lit("Shipments0"), (key % 3 + 1).cast("string"), F.lit(".csv")).alias("source_file"),
+        return exported.selectExpr(
+            "order_id",
+            "line_no",
+            "if(again AND order_id % 360 = 1, shipper % 5 + 1, shipper) AS shipper_id",
+            "employee_id",
+            "concat_ws('/', month(day), day(day), year(day)) AS shipment_date",
+            "if(again, 'Shipments03.csv', concat('Shipments0', order_id % 3 + 1, '.csv')) AS source_file",
         )
-        again = F.struct(
-            F.when(key % 360 == 1, shipper % 5 + 1).otherwise(shipper).alias("shipper_id"),
-            F.lit("Shipments03.csv").alias("source_file"),
-        )
-        exports = F.when(key % 120 == 1, F.array(first, again)).otherwise(F.array(first))
-        return self.table("lineitem").select(
-            key.alias("order_id"),
-            self._line_no().alias("line_no"),
-            employee.cast("int").alias("employee_id"),
-            _us_date(F.add_months(F.col("l_shipdate").cast("date"), -108)).alias("shipment_date"),
-            F.explode(exports).alias("export"),
-        ).select("order_id", "line_no", "export.shipper_id", "employee_id", "shipment_date", "export.source_file")
 
     def budget(self) -> DataFrame:
         """Wide budget, one text column per year; two cells stay empty."""
-        employee = (F.col("o_orderkey") % 25 + 1).cast("int")
-        amount = F.col("o_totalprice").cast("decimal(18,2)")
-        year = F.year("o_orderdate")
-        sums = [
-            F.sum(F.when((year == int(y)) & self._budgeted(int(y), employee), amount)).cast("string").alias(y)
-            for y in BUDGET_YEARS
-        ]
-        return (
-            self.table("orders").groupBy(employee.alias("e")).agg(*sums)
-            .select((F.col("e") % 5 + 1).cast("string").alias("office"), F.col("e").cast("string").alias("employee_id"),
-                    *BUDGET_YEARS)
+        amounts = self.table("orders").selectExpr(
+            "CAST(o_orderkey % 25 + 1 AS INT) AS e",
+            "year(o_orderdate) AS y",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+        ).where("NOT (y = 1999 AND e = 4) AND NOT (y = 2001 AND e = 3)")
+        sums = [F.expr(f"CAST(sum(CASE WHEN y = {y} THEN amount END) AS STRING)").alias(y) for y in BUDGET_YEARS]
+        return amounts.groupBy("e").agg(*sums).selectExpr(
+            "CAST(e % 5 + 1 AS STRING) AS office", "CAST(e AS STRING) AS employee_id", *[f"`{y}`" for y in BUDGET_YEARS]
         )
 
-    @staticmethod
-    def _budgeted(year: int, employee: Column) -> Column:
-        empty = {1999: 4, 2001: 3}
-        return employee != empty[year] if year in empty else F.lit(True)
-
     def budget_grid(self) -> DataFrame:
         """The budget as a report sheet: title row, header row, office only on its first row, a blank tail row."""
-        employee = F.col("employee_id").cast("int")
-        cells = self.budget().select(
-            F.lit("Budget").alias("sheet"),
-            (F.col("office").cast("int") * 100 + employee).alias("row_no"),
-            F.when(employee <= 5, F.concat(F.col("office"), F.lit(".0"))).alias("c0"),
-            F.col("employee_id").alias("c1"),
-            F.col("1997").alias("c2"),
+        cells = self.budget().selectExpr(
+            "'Budget' AS sheet",
+            "CAST(office AS INT) * 100 + CAST(employee_id AS INT) AS row_no",
+            "CASE WHEN CAST(employee_id AS INT) <= 5 THEN concat(office, '.0') END AS c0",
+            "employee_id AS c1",
+            "`1997` AS c2",
         )
         frame = [
             {"sheet": "Budget", "row_no": 0, "c0": "Budget"},
@@ -226,41 +186,34 @@ class SalesSources:
 
     def report_grid(self) -> DataFrame:
         """One sheet per order year; the label stands on every seventh row only."""
-        key = F.col("o_orderkey")
-        return self.table("orders").select(
-            F.year("o_orderdate").cast("string").alias("sheet"),
-            key.alias("row_no"),
-            F.when(key % 7 == 0, F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))).alias("label"),
-            F.col("o_totalprice").alias("amount"),
+        return self.table("orders").selectExpr(
+            "CAST(year(o_orderdate) AS STRING) AS sheet",
+            "o_orderkey AS row_no",
+            "CASE WHEN o_orderkey % 7 = 0 THEN concat('Customer ', o_custkey) END AS label",
+            "o_totalprice AS amount",
         )
 
     def raw_orders(self) -> DataFrame:
         """Orders under the headers of an export."""
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("OrderID"),
-            F.col("o_orderdate").cast("date").alias("OrderDate"),
-            F.col("o_custkey").alias("CustomerID"),
-            F.col("o_orderstatus").alias("Order Status"),
-        )
-
-    def _order_amounts(self, key: Column, amount: Column) -> DataFrame:
-        return self.table("orders").select(
-            key.alias("order_id"), F.col("o_custkey").alias("customer_id"),
-            amount.cast("decimal(18,2)").alias("amount"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS OrderID", "CAST(o_orderdate AS DATE) AS OrderDate", "o_custkey AS CustomerID",
+            "o_orderstatus AS `Order Status`",
         )
 
     def merge_target(self) -> DataFrame:
         """Every tenth order is stored under a key the batch does not have."""
-        key = F.col("o_orderkey")
-        return self._order_amounts(
-            F.when(key % 10 == 0, -1 - key).otherwise(key), F.col("o_totalprice").cast("decimal(17,2)")
+        return self.table("orders").selectExpr(
+            "CASE WHEN o_orderkey % 10 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS order_id",
+            "o_custkey AS customer_id",
+            "CAST(CAST(o_totalprice AS DECIMAL(17,2)) AS DECIMAL(18,2)) AS amount",
         )
 
     def merge_source(self) -> DataFrame:
         """All orders; every sixth has a changed amount."""
-        key = F.col("o_orderkey")
-        return self._order_amounts(
-            key, F.col("o_totalprice").cast("decimal(17,2)") + F.when(key % 6 == 0, 1).otherwise(0)
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "CAST(CAST(o_totalprice AS DECIMAL(17,2)) + if(o_orderkey % 6 = 0, 1, 0) AS DECIMAL(18,2)) AS amount",
         )
 
     def raw(self, name: str) -> DataFrame:

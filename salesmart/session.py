@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Plans are built from many small column calls; do not record a Python stack for each of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
