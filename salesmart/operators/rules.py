@@ -29,22 +29,22 @@ class RowRule:
 
 
 def row_violations(df: DataFrame, rules: list[RowRule], record: str = "order_id") -> DataFrame:
-    """All row rules in one scan; rows that break none are filtered before anything is built."""
-    findings = F.array(*[
-        F.when(
-            rule.broken,
-            F.struct(
-                F.lit(rule.name).alias("rule_failed"),
-                F.lit(rule.severity).alias("severity"),
-                rule.detail.alias("detail"),
-            ),
-        )
-        for rule in rules
-    ])
-    return (
-        df.where(reduce(or_, [rule.broken for rule in rules]))
-        .select(record, F.explode(F.array_compact(findings)).alias("finding"))
-        .select(record, "finding.*")
+    """All row rules in one scan.
+
+    Only the names of the broken rules are exploded; severity and message are looked up afterwards, so a count
+    of violations never builds a message.
+    """
+    broken = F.array_compact(F.array(*[F.when(rule.broken, rule.name) for rule in rules]))
+    found = df.where(reduce(or_, [rule.broken for rule in rules])).select("*", F.explode(broken).alias("rule_failed"))
+
+    def per_rule(value) -> Column:
+        return F.coalesce(*[F.when(F.col("rule_failed") == rule.name, value(rule)) for rule in rules])
+
+    return found.select(
+        record,
+        "rule_failed",
+        per_rule(lambda rule: F.lit(rule.severity)).alias("severity"),
+        per_rule(lambda rule: rule.detail).alias("detail"),
     )
 
 
