@@ -84,21 +84,24 @@ def count_csv_records(spark: SparkSession, path: str, file_glob: str | None = No
     split counts its line ends for both possible parities of what precedes it; the splits of a file are then
     put in order and the matching count is taken. No file is ever held by one task.
     """
-    lines = (
-        _file_lines(spark, path, file_glob)
-        .withColumn("line_id", F.monotonically_increasing_id())
-        .withColumn("quotes", F.regexp_count("value", F.lit('"')))
+    # Lines are reduced to two small values before they are ordered.
+    lines = _file_lines(spark, path, file_glob).select(
+        "file_path",
+        "file_name",
+        "block_start",
+        F.monotonically_increasing_id().alias("line_id"),
+        F.regexp_count("value", F.lit('"')).alias("quotes"),
+        (F.trim("value") == "").alias("blank"),
     )
     # A split is read by one task and holds at most spark.sql.files.maxPartitionBytes, so this window is bounded.
     in_split = Window.partitionBy("file_path", "block_start").orderBy("line_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     seen = lines.withColumn("odd", F.sum("quotes").over(in_split) % 2)
-    blank = F.trim("value") == ""
     splits = seen.groupBy("file_path", "file_name", "block_start").agg(
         F.sum("quotes").alias("quotes"),
-        F.count_if((F.col("odd") == 0) & ~blank).alias("ends_after_even"),
-        F.count_if((F.col("odd") == 1) & ~blank).alias("ends_after_odd"),
+        F.count_if((F.col("odd") == 0) & ~F.col("blank")).alias("ends_after_even"),
+        F.count_if((F.col("odd") == 1) & ~F.col("blank")).alias("ends_after_odd"),
     )
     before = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2

@@ -1,9 +1,12 @@
 """Stored tables: scan, overwrite, append and upsert.
 
-Tables live in whatever catalog the session has. Where its tables take row-level changes (a lakehouse format),
-:func:`merge_into` hands the upsert to the format, which rewrites the touched files only. Plain parquet tables
-cannot be changed in place, so :func:`upsert_table` writes the merged snapshot as a new generation and then points
-a view at it: readers see the old or the new snapshot, and a failed run leaves the old one in place.
+Tables live in whatever catalog the session has. There are three ways to upsert, by what the table can do:
+
+* :func:`merge_into` - the table format supports MERGE (a lakehouse format): it rewrites the touched files only.
+* :func:`upsert_partitions` - plain parquet, partitioned by a value derived from the key: the partitions the batch
+  touches are read, merged and replaced; the others are not even listed for reading.
+* :func:`upsert_table` - plain parquet without such a value: the merged snapshot becomes a new generation and a view
+  is pointed at it. Readers see the old or the new snapshot, and a failed run leaves the old one in place.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import re
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +35,10 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+BUCKET = "key_bucket"
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 @dataclass(frozen=True)
 class WriteCounts:
     rows_inserted: int
@@ -55,11 +62,17 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     ).drop(CHANGE), seen
 
 
+def _counts(seen: Observation) -> WriteCounts:
+    """An empty result may be optimised away together with its observation."""
+    values = seen.get
+    return WriteCounts(*(values.get(name, 0) for name in ("rows_inserted", "rows_updated", "rows_total")))
+
+
 def overwrite_table(df: DataFrame, name: str) -> WriteCounts:
     """Full replacement, schema included."""
     rows, seen = _observed(df.withColumn(CHANGE, F.lit("insert")))
     rows.write.mode("overwrite").option("overwriteSchema", "true").format("parquet").saveAsTable(name)
-    return WriteCounts(**seen.get)
+    return _counts(seen)
 
 
 def append_audit(spark: SparkSession, table: str, rows: list[tuple]) -> None:
@@ -74,6 +87,16 @@ def _generations(spark: SparkSession, name: str) -> list[int]:
     return sorted(int(match.group(1)) for match in numbers if match)
 
 
+def stable_batch(df: DataFrame) -> DataFrame:
+    """The batch written once to the cluster's checkpoint folder.
+
+    A merge reads its batch several times; without this each read would parse the sources again, after an executor
+    loss once more. The folder is the one the session names in ``spark.checkpoint.dir``; where none is named the
+    batch stays lazy, which is correct, only slower.
+    """
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
+
+
 def upsert_table(
     spark: SparkSession, df: DataFrame, name: str, keys: list[str], on_duplicate: str = "error"
 ) -> WriteCounts:
@@ -84,7 +107,7 @@ def upsert_table(
     """
     stored = _generations(spark, name)
     if spark.catalog.tableExists(name):
-        result = merge_upsert(spark.table(name), df, keys, on_duplicate)
+        result = merge_upsert(spark.table(name), stable_batch(df), keys, on_duplicate)
     else:
         result = first_load(df, keys)
     rows, seen = _observed(result)
@@ -93,7 +116,34 @@ def upsert_table(
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}__g{new}")
     for old in stored[:-1]:
         spark.sql(f"DROP TABLE IF EXISTS {name}__g{old}")
-    return WriteCounts(**seen.get)
+    return _counts(seen)
+
+
+def upsert_partitions(
+    spark: SparkSession, df: DataFrame, name: str, keys: list[str], bucket: Column, on_duplicate: str = "error"
+) -> WriteCounts:
+    """Upsert into a table partitioned by ``bucket``, an expression over the keys such as ``order_id DIV 1000000``.
+
+    Because the bucket follows from the key, a row never moves and every match lies in a bucket of the batch. The
+    batch's bucket values (partition names, i.e. metadata) prune the target scan, and only those partitions are
+    replaced. New columns are not added by this path. A repeated run after a failure gives the same table.
+    """
+    if spark.conf.get(_OVERWRITE_MODE).lower() != "dynamic":
+        raise ValueError(f"{_OVERWRITE_MODE}=dynamic is needed: a static overwrite would drop the other partitions")
+    batch = stable_batch(df.withColumn(BUCKET, bucket))
+    if not spark.catalog.tableExists(name):
+        rows, seen = _observed(first_load(batch, [*keys, BUCKET]))
+        rows.repartition(BUCKET, *keys).write.format("parquet").partitionBy(BUCKET).saveAsTable(name)
+        return _counts(seen)
+    touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
+    in_touched = F.col(BUCKET).isin([value for value in touched if value is not None])
+    target = spark.table(name).where(in_touched | F.col(BUCKET).isNull() if None in touched else in_touched)
+    rows, seen = _observed(merge_upsert(target, batch, [*keys, BUCKET], on_duplicate))
+    columns = spark.table(name).columns
+    rows.select(columns).write.mode("overwrite").insertInto(name)
+    counts = _counts(seen)
+    # A bare count of parquet is answered from file footers.
+    return WriteCounts(counts.rows_inserted, counts.rows_updated, spark.table(name).count())
 
 
 def merge_into(df: DataFrame, table: str, keys: list[str]) -> None:

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.legacy.javaCharsets": "true",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.autoBroadcastJoinThreshold": "10MB",
         },
     )

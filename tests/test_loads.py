@@ -1,16 +1,27 @@
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import datetime
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamp
 from salesmart.plans import loads, silver
 from salesmart.plans.loads import LoadSpec
 from salesmart.plans.tables import BRONZE_KEYS, SILVER_KEYS
 from salesmart.registry.fixtures import SalesSources
-from salesmart.sources.tables import WriteCounts, append_audit, merge_into, overwrite_table, upsert_table
+from salesmart.sources.tables import (
+    WriteCounts,
+    append_audit,
+    merge_into,
+    overwrite_table,
+    stable_batch,
+    upsert_partitions,
+    upsert_table,
+)
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -47,6 +58,35 @@ def test_upsert_generations(spark, db):
     assert kept == ["t", "t__g2", "t__g3"]
 
 
+def test_upsert_replaces_touched_partitions_only(spark, db, conf):
+    name, bucket = f"{db}.facts", F.expr("id DIV 10")
+    with pytest.raises(ValueError, match="dynamic"):
+        upsert_partitions(spark, _batch(spark, []), name, ["id"], bucket)
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    first = _batch(spark, [(1, "a"), (2, "b"), (11, "c"), (25, "d")])
+    assert upsert_partitions(spark, first, name, ["id"], bucket) == WriteCounts(4, 0, 4)
+    files = {r[0] for r in spark.table(name).where("id >= 20").select("_metadata.file_path").collect()}
+    batch = _batch(spark, [(2, "B"), (3, "new"), (11, "c"), (31, "e")], T2)
+    assert upsert_partitions(spark, batch, name, ["id"], bucket) == WriteCounts(2, 1, 6)
+    assert rows(spark.table(name).select("id", "v", "updated_at")) == [
+        (1, "a", T1), (11, "c", T1), (2, "B", T2), (25, "d", T1), (3, "new", T2), (31, "e", T2),
+    ]
+    assert {r[0] for r in spark.table(name).where("id BETWEEN 20 AND 29").select("_metadata.file_path").collect()} == files
+    assert upsert_partitions(spark, batch, name, ["id"], bucket) == WriteCounts(0, 0, 6)
+    for ts, expected in ((T1, WriteCounts(1, 0, 7)), (T2, WriteCounts(0, 0, 7))):
+        assert upsert_partitions(spark, _batch(spark, [(None, "n")], ts), name, ["id"], bucket) == expected
+    assert upsert_partitions(spark, _batch(spark, [(None, "N")], T2), name, ["id"], bucket) == WriteCounts(0, 1, 7)
+
+
+def test_batch_is_written_once_where_the_cluster_names_a_folder(spark):
+    kept = stable_batch(spark.range(3).selectExpr("id", "rand() AS r"))
+    assert rows(kept) == rows(kept)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        kept.explain()
+    assert "ExistingRDD" in out.getvalue()
+
+
 def test_failed_upsert_leaves_the_table_alone(spark, db):
     name = f"{db}.t"
     upsert_table(spark, _batch(spark, [(1, "a")]), name, ["id"])
