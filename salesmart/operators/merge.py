@@ -28,22 +28,24 @@ def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], on_duplicate: str = "error") -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: list[str], source_is_unique: bool = False
+) -> DataFrame:
     """The table after merging ``source`` into ``target``, plus ``_change`` per row.
 
     ``update``: the key exists and the fingerprint differs; all source columns but the keys and ``created_at``
     are taken. ``unchanged``: equal fingerprint, row untouched. ``insert``: new key. ``kept``: only in the
     target, which nothing deletes. Keys and fingerprints compare NULL-safe, so a row stored without a
     fingerprint is updated once and a NULL key does not pile up. Columns new in the source are added.
+    A key that repeats in the source has no single row to take, so it fails the job; ``source_is_unique`` skips
+    that check for a batch that was deduplicated before.
 
     The shape is a left join from the target plus an anti join from the source rather than one full outer
     join: a batch that fits in memory is then broadcast and the target never shuffles, and for a large one AQE
     may split a skewed target partition, which a full outer join forbids.
     """
-    if on_duplicate not in ("error", "keep"):
-        raise ValueError(f"on_duplicate must be 'error' or 'keep', not {on_duplicate!r}")
     batch = with_fingerprint(source, keys)
-    if on_duplicate == "error":
+    if not source_is_unique:
         batch = require_unique(batch, keys, "merge source")
     stored = _with_columns_of(target, batch)
     columns = stored.columns

@@ -21,14 +21,18 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class LoadSpec:
-    """What to load: a lazy frame (or a function giving one, so that a failing read is isolated too)."""
+    """What to load: a lazy frame (or a function giving one, so that a failing read is isolated too).
+
+    ``keys`` identify a row for the merge; ``check_keys`` are validated afterwards and default to them.
+    """
 
     table: str
     rows: DataFrame | Callable[[], DataFrame]
     keys: list[str]
     source: str | None = None
     expected_rows: Callable[[], int] | None = None
-    on_duplicate: str = "error"
+    source_is_unique: bool = False
+    check_keys: list[str] | None = None
 
     def frame(self) -> DataFrame:
         return self.rows if isinstance(self.rows, DataFrame) else self.rows()
@@ -50,8 +54,8 @@ def load_table(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     """Load one table. Rows read are counted by the writing job; validation is one aggregation of the result."""
     seen = Observation()
     batch = spec.frame().observe(seen, F.count(F.lit(1)).alias("rows_read"))
-    counts = upsert_table(spark, batch, spec.table, spec.keys, spec.on_duplicate)
-    check = validate_key(spark.table(spec.table), spec.keys, spec.table).first()
+    counts = upsert_table(spark, batch, spec.table, spec.keys, spec.source_is_unique)
+    check = validate_key(spark.table(spec.table), spec.check_keys or spec.keys, spec.table).first()
     rows_read = seen.get.get("rows_read", 0)
     expected = spec.expected_rows() if spec.expected_rows else None
     status = "SUCCESS" if expected is None or expected == rows_read else "WARNING"

@@ -165,3 +165,9 @@ def dq_gate(views: dict[str, DataFrame]) -> DataFrame:
 
 def validation_summary(tables: dict[str, DataFrame], keys: dict[str, list[str]] = GOLD_KEYS) -> DataFrame:
     return union_by_name(validate_key(tables[name], key, name) for name, key in keys.items())
+
+
+def publish_views(views: dict[str, DataFrame], prefix: str = "") -> None:
+    """Make the views queryable by name in SQL. They stay lazy: each query reads the tables as they are then."""
+    for name, view in views.items():
+        view.createOrReplaceTempView(f"{prefix}{name}")

@@ -20,6 +20,12 @@ BRONZE_KEYS = {
     "budget": ["office", "employee_id"],
 }
 
+# Exports that repeat a business key: what tells their bronze rows apart, so that a re-load finds each of them again.
+BRONZE_ROW_KEYS = {
+    "divisions": ["division_id", "division_name"],
+    "shipments": ["order_id", "line_no", "source_file"],
+}
+
 SILVER_KEYS = {
     "dim_category": ["category_id"],
     "dim_product": ["product_id"],

@@ -98,16 +98,16 @@ def stable_batch(df: DataFrame) -> DataFrame:
 
 
 def upsert_table(
-    spark: SparkSession, df: DataFrame, name: str, keys: list[str], on_duplicate: str = "error"
+    spark: SparkSession, df: DataFrame, name: str, keys: list[str], source_is_unique: bool = False
 ) -> WriteCounts:
     """Create the table on the first run, merge on later ones.
 
-    The first run stores the batch as it is; ``on_duplicate`` applies to merges. The generation before the new
-    one is kept for readers still on it, older ones are dropped.
+    The first run stores the batch as it is, repeated keys included; a merge refuses them. The generation before
+    the new one is kept for readers still on it, older ones are dropped.
     """
     stored = _generations(spark, name)
     if spark.catalog.tableExists(name):
-        result = merge_upsert(spark.table(name), stable_batch(df), keys, on_duplicate)
+        result = merge_upsert(spark.table(name), stable_batch(df), keys, source_is_unique)
     else:
         result = first_load(df, keys)
     rows, seen = _observed(result)
@@ -119,8 +119,13 @@ def upsert_table(
     return _counts(seen)
 
 
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    """Few files per partition; AQE splits a bucket that holds far more rows than the others."""
+    return rows.hint("rebalance", F.col(BUCKET))
+
+
 def upsert_partitions(
-    spark: SparkSession, df: DataFrame, name: str, keys: list[str], bucket: Column, on_duplicate: str = "error"
+    spark: SparkSession, df: DataFrame, name: str, keys: list[str], bucket: Column, source_is_unique: bool = False
 ) -> WriteCounts:
     """Upsert into a table partitioned by ``bucket``, an expression over the keys such as ``order_id DIV 1000000``.
 
@@ -133,14 +138,14 @@ def upsert_partitions(
     batch = stable_batch(df.withColumn(BUCKET, bucket))
     if not spark.catalog.tableExists(name):
         rows, seen = _observed(first_load(batch, [*keys, BUCKET]))
-        rows.repartition(BUCKET, *keys).write.format("parquet").partitionBy(BUCKET).saveAsTable(name)
+        _by_bucket(rows).write.format("parquet").partitionBy(BUCKET).saveAsTable(name)
         return _counts(seen)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
     in_touched = F.col(BUCKET).isin([value for value in touched if value is not None])
     target = spark.table(name).where(in_touched | F.col(BUCKET).isNull() if None in touched else in_touched)
-    rows, seen = _observed(merge_upsert(target, batch, [*keys, BUCKET], on_duplicate))
+    rows, seen = _observed(merge_upsert(target, batch, [*keys, BUCKET], source_is_unique))
     columns = spark.table(name).columns
-    rows.select(columns).write.mode("overwrite").insertInto(name)
+    _by_bucket(rows.select(columns)).write.mode("overwrite").insertInto(name)
     counts = _counts(seen)
     # A bare count of parquet is answered from file footers.
     return WriteCounts(counts.rows_inserted, counts.rows_updated, spark.table(name).count())

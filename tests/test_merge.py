@@ -54,10 +54,7 @@ def test_repeated_source_keys(spark):
     twice = _frame(spark, [(1, "b", "t1", "t1"), (1, "c", "t1", "t1")])
     with pytest.raises(Exception, match="merge source: 1 repeated key"):
         merge_upsert(target, twice, ["id"]).collect()
-    assert merge_upsert(target, twice, ["id"], on_duplicate="keep").count() == 2
     assert first_load(twice, ["id"]).count() == 2
-    with pytest.raises(ValueError, match="on_duplicate"):
-        merge_upsert(target, twice, ["id"], on_duplicate="first")
 
 
 def test_target_duplicates_are_all_kept(spark):

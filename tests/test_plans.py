@@ -58,7 +58,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
 def test_small_batch_merge_does_not_shuffle_the_target(spark):
     target = with_fingerprint(spark.range(1000).selectExpr("id AS k", "id AS v"), ["k"])
     batch = spark.range(5).selectExpr("id AS k", "-id AS v")
-    merged = merge_upsert(target, batch, ["k"], on_duplicate="keep").where("_change <> 'insert'")
+    merged = merge_upsert(target, batch, ["k"], source_is_unique=True).where("_change <> 'insert'")
     plan = plan_of(merged)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
