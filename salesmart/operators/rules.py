@@ -49,7 +49,9 @@ def row_violations(df: DataFrame, rules: list[RowRule], record: str = "order_id"
 
 
 def as_violations(df: DataFrame, name: str, severity: str, detail: Column, record: str = "order_id") -> DataFrame:
-    return df.select(record, F.lit(name).alias("rule_failed"), F.lit(severity).alias("severity"), detail.alias("detail"))
+    return df.select(
+        record, F.lit(name).alias("rule_failed"), F.lit(severity).alias("severity"), detail.alias("detail")
+    )
 
 
 def orphan_violations(

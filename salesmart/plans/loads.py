@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.keys import key_counts, validate_key
 from salesmart.operators.unions import union_by_name
-from salesmart.sources.tables import WriteCounts, append_audit, audit_row, upsert_table
+from salesmart.sources.tables import WriteCounts, append_audit, audit_row, upsert_partitions, upsert_table
 
 log = logging.getLogger(__name__)
 
@@ -23,7 +23,8 @@ log = logging.getLogger(__name__)
 class LoadSpec:
     """What to load: a lazy frame (or a function giving one, so that a failing read is isolated too).
 
-    ``keys`` identify a row for the merge; ``check_keys`` are validated afterwards and default to them.
+    ``keys`` identify a row for the merge; ``check_keys`` are validated afterwards and default to them. ``bucket``,
+    a SQL expression over the keys, stores the table in partitions of which a run replaces the touched ones only.
     """
 
     table: str
@@ -33,6 +34,7 @@ class LoadSpec:
     expected_rows: Callable[[], int] | None = None
     source_is_unique: bool = False
     check_keys: list[str] | None = None
+    bucket: str | None = None
 
     def frame(self) -> DataFrame:
         return self.rows if isinstance(self.rows, DataFrame) else self.rows()
@@ -54,7 +56,12 @@ def load_table(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     """Load one table. Rows read are counted by the writing job; validation is one aggregation of the result."""
     seen = Observation()
     batch = spec.frame().observe(seen, F.count(F.lit(1)).alias("rows_read"))
-    counts = upsert_table(spark, batch, spec.table, spec.keys, spec.source_is_unique)
+    if spec.bucket:
+        counts = upsert_partitions(
+            spark, batch, spec.table, spec.keys, F.expr(spec.bucket), spec.source_is_unique
+        )
+    else:
+        counts = upsert_table(spark, batch, spec.table, spec.keys, spec.source_is_unique)
     check = validate_key(spark.table(spec.table), spec.check_keys or spec.keys, spec.table).first()
     rows_read = seen.get.get("rows_read", 0)
     expected = spec.expected_rows() if spec.expected_rows else None

@@ -19,6 +19,8 @@ from salesmart.operators.rules import (
 from salesmart.plans.tables import GOLD_KEYS
 from salesmart.operators.unions import labeled_union, union_by_name
 
+# The rule names, severities and message texts below are what readers of the views match on.
+
 # A default value is suspected when one employee holds more than this share of all mismatches.
 DEFAULT_SHARE = 0.5
 

@@ -17,23 +17,15 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from salesmart.operators.merge import CHANGE, first_load, merge_upsert, with_fingerprint
 
-AUDIT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("source_file_name", T.StringType(), True),
-    T.StructField("run_timestamp", T.TimestampType(), False),
-    T.StructField("rows_read_from_source", T.LongType(), True),
-    T.StructField("rows_inserted", T.LongType(), True),
-    T.StructField("rows_updated", T.LongType(), True),
-    T.StructField("rows_total_after_write", T.LongType(), True),
-    T.StructField("status", T.StringType(), False),
-    T.StructField("error_message", T.StringType(), True),
-])
-
+# Columns of the audit log, one row per run and table.
+AUDIT_SCHEMA = """
+    run_id STRING NOT NULL, table_name STRING NOT NULL, source_file_name STRING, run_timestamp TIMESTAMP NOT NULL,
+    rows_read_from_source BIGINT, rows_inserted BIGINT, rows_updated BIGINT, rows_total_after_write BIGINT,
+    status STRING NOT NULL, error_message STRING
+"""
 
 BUCKET = "key_bucket"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -119,6 +111,14 @@ def upsert_table(
     return _counts(seen)
 
 
+def _add_columns(spark: SparkSession, name: str, batch: DataFrame) -> None:
+    """Columns new in the batch; rows stored before have NULL there."""
+    stored = spark.table(name).columns
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields if f.name not in stored]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
+
 def _by_bucket(rows: DataFrame) -> DataFrame:
     """Few files per partition; AQE splits a bucket that holds far more rows than the others."""
     return rows.hint("rebalance", F.col(BUCKET))
@@ -131,7 +131,7 @@ def upsert_partitions(
 
     Because the bucket follows from the key, a row never moves and every match lies in a bucket of the batch. The
     batch's bucket values (partition names, i.e. metadata) prune the target scan, and only those partitions are
-    replaced. New columns are not added by this path. A repeated run after a failure gives the same table.
+    replaced. A repeated run after a failure gives the same table.
     """
     if spark.conf.get(_OVERWRITE_MODE).lower() != "dynamic":
         raise ValueError(f"{_OVERWRITE_MODE}=dynamic is needed: a static overwrite would drop the other partitions")
@@ -140,6 +140,7 @@ def upsert_partitions(
         rows, seen = _observed(first_load(batch, [*keys, BUCKET]))
         _by_bucket(rows).write.format("parquet").partitionBy(BUCKET).saveAsTable(name)
         return _counts(seen)
+    _add_columns(spark, name, batch)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]
     in_touched = F.col(BUCKET).isin([value for value in touched if value is not None])
     target = spark.table(name).where(in_touched | F.col(BUCKET).isNull() if None in touched else in_touched)

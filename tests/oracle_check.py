@@ -66,6 +66,7 @@ if __name__ == "__main__":
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name:32s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
+        verdict = "ok  " if problem is None else "FAIL"
+        print(f"{verdict} {name:32s} {time.time() - start:6.2f}s {problem or ''}", flush=True)
     print("failed:", failed, "missing sql:", sorted(set(entry_points.queries()) - set(sqls)),
           "extra sql:", sorted(set(sqls) - set(entry_points.queries())))

@@ -53,8 +53,10 @@ def test_require_unique_fails_when_run(spark, lines):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["f1", "f2", None]), st.one_of(st.none(), st.integers(0, 2))),
-                min_size=1, max_size=25))
+@given(st.lists(
+    st.tuples(st.integers(0, 3), st.sampled_from(["f1", "f2", None]), st.one_of(st.none(), st.integers(0, 2))),
+    min_size=1, max_size=25,
+))
 def test_survivor_does_not_depend_on_partitioning(spark, data):
     df = spark.createDataFrame(data, "k int, file string, v int")
     best = {}

@@ -71,13 +71,25 @@ def test_upsert_replaces_touched_partitions_only(spark, db, conf):
     assert rows(spark.table(name).select("id", "v", "updated_at")) == [
         (1, "a", T1), (11, "c", T1), (2, "B", T2), (25, "d", T1), (3, "new", T2), (31, "e", T2),
     ]
-    assert {r[0] for r in spark.table(name).where("id BETWEEN 20 AND 29").select("_metadata.file_path").collect()} == files
+    untouched = spark.table(name).where("id BETWEEN 20 AND 29").select("_metadata.file_path")
+    assert {r[0] for r in untouched.collect()} == files
     assert upsert_partitions(spark, batch, name, ["id"], bucket) == WriteCounts(0, 0, 6)
     for ts, expected in ((T1, WriteCounts(1, 0, 7)), (T2, WriteCounts(0, 0, 7))):
         assert upsert_partitions(spark, _batch(spark, [(None, "n")], ts), name, ["id"], bucket) == expected
     assert upsert_partitions(spark, _batch(spark, [(None, "N")], T2), name, ["id"], bucket) == WriteCounts(0, 1, 7)
 
 
+def test_partitioned_table_takes_new_columns(spark, db, conf):
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spec = LoadSpec(f"{db}.facts", lambda: _batch(spark, [(1, "a"), (11, "b")]), ["id"], bucket="id DIV 10")
+    assert loads.load_table(spark, spec).counts == WriteCounts(2, 0, 2)
+    wider = LoadSpec(spec.table, lambda: _batch(spark, [(1, "a")], T2).selectExpr("*", "7 AS extra"), ["id"],
+                     bucket="id DIV 10")
+    result = loads.load_table(spark, wider)
+    assert (result.rows_read, result.counts) == (1, WriteCounts(0, 1, 2))
+    assert rows(spark.table(spec.table).select("id", "v", "extra")) == [(1, "a", 7), (11, "b", None)]
+
+
 def test_batch_is_written_once_where_the_cluster_names_a_folder(spark):
     kept = stable_batch(spark.range(3).selectExpr("id", "rand() AS r"))
     assert rows(kept) == rows(kept)

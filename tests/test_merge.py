@@ -20,8 +20,8 @@ def _stored(spark, data, schema=SCHEMA):
 
 
 def test_rules(spark):
-    target = _stored(spark, [(1, "a", "t0", "t0"), (2, "b", "t0", "t0"), (3, "c", "t0", "t0"), (None, "n", "t0", "t0")])
-    source = _frame(spark, [(1, "a", "t1", "t1"), (2, "B", "t1", "t1"), (9, "new", "t1", "t1"), (None, "n", "t1", "t1")])
+    target = _stored(spark, [(k, v, "t0", "t0") for k, v in [(1, "a"), (2, "b"), (3, "c"), (None, "n")]])
+    source = _frame(spark, [(k, v, "t1", "t1") for k, v in [(1, "a"), (2, "B"), (9, "new"), (None, "n")]])
     out = merge_upsert(target, source, ["id"]).drop("row_hash")
     assert rows(out) == [
         (1, "a", "t0", "t0", "unchanged"),       # equal fingerprint: untouched, updated_at stays

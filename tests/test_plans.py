@@ -97,7 +97,8 @@ def test_hot_key_is_split_in_duplicate_rows(spark, tiny_skew_limits):
 def test_hot_key_is_split_in_the_sales_fact(spark, tiny_skew_limits):
     lines = _hot(spark).drop("source_file")
     shipments = keep_latest(
-        _hot(spark).selectExpr("order_id", "line_no", "payload AS shipper_id", "payload AS shipment_date", "source_file"),
+        _hot(spark).selectExpr(
+            "order_id", "line_no", "payload AS shipper_id", "payload AS shipment_date", "source_file"),
         ["order_id", "line_no"], ["source_file"])
     joined = gold.with_shipment(lines, shipments)
     assert "skew=true" in _final_plan(joined)
