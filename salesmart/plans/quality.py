@@ -105,6 +105,8 @@ def employee_default_pattern(mismatches: DataFrame, share: float = DEFAULT_SHARE
     The total is a scalar subquery over the per-employee counts, so no join with a one-row table is needed.
     At most ``1 / share`` employees can qualify, whatever the size of the data.
     """
+    if not 0 < share < 1:
+        raise ValueError(f"share must lie between 0 and 1, not {share}")
     counts = mismatch_concentration(mismatches)
     total = counts.agg(F.sum("mismatch_count")).scalar()
     return (
