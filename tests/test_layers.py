@@ -113,6 +113,8 @@ def test_default_pattern_needs_more_than_half(spark):
     assert rows(quality.employee_default_pattern(pairs([1, 1, 2, 2]))) == []
     assert rows(quality.employee_default_pattern(pairs([1, 1, 2]))) == [(1, 2, 3, 66.6667)]
     assert rows(quality.employee_default_pattern(pairs([]))) == []
+    with pytest.raises(ValueError, match="share"):
+        quality.employee_default_pattern(pairs([1]), share=0)
 
 
 def test_placeholders_close_the_shipper_gap(spark):
