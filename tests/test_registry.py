@@ -6,8 +6,11 @@ from conftest import SMALL
 import __spark_entry__ as entry_points
 from oracle_check import compare, connect
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+from salesmart.registry import checks
+from salesmart.registry import queries as registry
+
+QUERIES = registry.queries()
+SQL = checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +27,10 @@ def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, QUERIES[name], SQL[name], SMALL) is None
 
 
+def test_entry_points_have_all_of_them():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns[:2] == ["order_id", "line_no"]
