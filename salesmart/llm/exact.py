@@ -85,7 +85,7 @@ def repeated_cells(digests: DataFrame, sha: str, n_cells: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array([np.packbits(t, bitorder="little").tobytes() for _, t in seen.values()], pa.binary())], ["slice", "bits"])
 
     folded = (digests.select(sha).mapInArrow(marks, "slice int, cells binary, again binary")
-              .repartition(_SLICES, "slice").mapInArrow(fold, "slice int, bits binary"))
+              .repartition("slice").mapInArrow(fold, "slice int, bits binary"))
     bits = np.zeros(n_cells // 8, np.uint8)
     for row in folded.collect():
         bits[row.slice * width // 8 : (row.slice + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
