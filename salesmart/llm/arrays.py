@@ -35,13 +35,13 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held, at - at[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Runs of rows with about ``size`` bytes of text: the rows, their bytes, their starts."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES, most: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of at most ``most`` rows with about ``size`` bytes of text: the rows, their bytes, their starts."""
     for batch in batches:
         data, at = texts(batch.column(column))
         row = 0
         while row < batch.num_rows:
-            end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
+            end = min(row + most, max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1))
             yield batch.slice(row, end - row), data[at[row] : at[end]], at[row : end + 1] - at[row]
             row = end
 
@@ -71,6 +71,15 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """ASCII and Latin-1 letters in lower case."""
+    low = LOWER[data]
+    at = np.flatnonzero(data[:-1] == 0xC3) + 1
+    tail = data[at]
+    low[at] = np.where((tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97), tail + 0x20, tail)
+    return low
+
+
 def words(data: np.ndarray, at: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of bytes not in ``outside``, and the row of each; runs end with their row."""
     inside = ~outside[data]

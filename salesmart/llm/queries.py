@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, exact, packing, urls
+from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, urls
 from salesmart.llm.fixed import table, tokenizer_path
+from salesmart.llm.shipping import ship
 
 #: Rules for op8.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -24,6 +26,39 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    model = language.train(docs.where(~out))
+    said = language.identify(docs, model, keep=["doc_id"])
+    return said.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("pii", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counted = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counted, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed("pii").alias("spans"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    model = quality.train(docs, labels.where(~out))
+    return quality.score(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.char_length(F.regexp_replace(F.regexp_replace("html", r"<[^>]*>", ""), r"[ \t\n\r]+", ""))
     good = ((text >= GOOD_TEXT) & (text >= GOOD_SHARE * F.char_length("html"))).cast("int")
@@ -37,5 +72,15 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(pairs, "conv_id")
 
 
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op5_exact_dedup, op8_url_filter, op10_preferences)}
+    return {f.__name__: shipped(f) for f in (
+        op1_packing, op3_language_id, op4_decontamination, op5_exact_dedup, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
