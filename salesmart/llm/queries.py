@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, urls
+from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, similarity, urls
 from salesmart.llm.fixed import table, tokenizer_path
 from salesmart.llm.shipping import ship
 
@@ -43,6 +43,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("pii", lambda s: s["base"])
@@ -83,4 +87,4 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: shipped(f) for f in (
-        op1_packing, op3_language_id, op4_decontamination, op5_exact_dedup, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
+        op1_packing, op3_language_id, op4_decontamination, op5_exact_dedup, op6_jaccard_join, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
