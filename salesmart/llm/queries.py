@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, similarity, urls
+from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, similarity, suffixes, urls
 from salesmart.llm.fixed import table, tokenizer_path
 from salesmart.llm.shipping import ship
 
@@ -26,6 +26,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
@@ -87,4 +91,4 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: shipped(f) for f in (
-        op1_packing, op3_language_id, op4_decontamination, op5_exact_dedup, op6_jaccard_join, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
+        op1_packing, op2_suffix_dedup, op3_language_id, op4_decontamination, op5_exact_dedup, op6_jaccard_join, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
