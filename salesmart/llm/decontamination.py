@@ -8,7 +8,6 @@ of documents advance in step, so each step is a few array operations.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm import arrays
+from salesmart.llm.storage import unused, written
 
 WINDOW = 10
 BLOCK = 2
@@ -141,68 +141,56 @@ def covered(spans: list[tuple]) -> int:
     return total
 
 
-RESULT = "n_words long, n_hit long, n_items long, items array<string>"
+NAMES = ("n_words", "n_hit", "n_items", "items")
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+_SPANS_SQL = "array<struct<first:long,last:long>>"
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, round_bytes: int = ROUND_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (the id), ``n_words``, ``n_hit``, ``n_items`` and ``items`` (ids as sorted strings) for each row.
+                  item_text: str = "text", window: int = WINDOW, round_bytes: int = ROUND_BYTES, keep: list[str] | None = None,
+                  names: tuple[str, str, str, str] = NAMES) -> DataFrame:
+    """Columns ``keep`` (the id) of each row, its words, words hit, items, and item ids as sorted strings, called ``names``.
 
     An item of fewer than ``window`` words is one pattern; NULL and word-free texts, of items too, match nothing. Items
-    with equal windows are all listed; ids that repeat count once, NULL ids not at all. Rows that repeat are judged one by one. Of the benchmark,
-    ``round_bytes`` at most are on the driver and in a broadcast at once; beyond that the documents are searched in
-    several rounds whose hits are put together by row.
+    with equal windows are all listed; ids that repeat count once, NULL ids not at all. Rows that repeat are judged one
+    by one. Of the benchmark, ``round_bytes`` at most are on the driver and in a broadcast at once; beyond that the
+    documents are searched in several rounds, each of which writes its hits for the next one.
     """
     keep = keep or [id_column]
     size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     rounds = max(1, -(-size // round_bytes))
     known = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
-    source = docs.select(*dict.fromkeys([*keep, text_column]))
-    kinds = dict(source.dtypes)
-    head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    parts = []
+    rows = docs.select(*dict.fromkeys([*keep, text_column]))
+    spans, listed = unused(rows, "hit_spans"), unused(rows, "hit_items")
     for k in range(rounds):
         own = known if rounds == 1 else known.where(F.pmod(F.xxhash64("i"), F.lit(rounds)) == k)
         patterns = docs.sparkSession.sparkContext.broadcast(compile_items(sorted({(r.i, r.t) for r in own.collect()}, key=repr), window))
-
-        def run(batches: Iterator[pa.RecordBatch], patterns=patterns) -> Iterator[pa.RecordBatch]:
-            for rows, data, at in arrays.slices(batches, text_column):
-                n, found = occurrences(patterns.value, data, at)
-                listed = [sorted({i for s in spans for i in s[2]}) for spans in found]
-                spans = [[{"first": a, "last": b} for a, b in sorted({s[:2] for s in row})] for row in found]
-                yield pa.RecordBatch.from_arrays([
-                    *(rows.column(c) for c in keep), pa.array(n, pa.int64()), pa.array([covered(s) for s in found], pa.int64()),
-                    pa.array([len(x) for x in listed], pa.int64()), pa.array(listed, pa.list_(pa.string())), pa.array(spans, _SPANS)],
-                    [*keep, "n_words", "n_hit", "n_items", "items", "spans"])
-
-        parts.append(source.mapInArrow(run, f"{head}, {RESULT}, spans array<struct<first:long,last:long>>"))
-    if rounds == 1:
-        return parts[0].drop("spans")
-    return _together(parts, keep)
-
-
-def _together(parts: list[DataFrame], keep: list[str]) -> DataFrame:
-    """Hits of several rounds by row. Rows with equal columns and hits in each round are counted and come back as often."""
-    merged = parts[0].groupBy(*keep, "n_words", "spans", "items").count().withColumn("round", F.lit(0))
-    for k, part in enumerate(parts[1:], 1):
-        merged = merged.unionByName(part.groupBy(*keep, "n_words", "spans", "items").count().withColumn("round", F.lit(k)))
-    # a row's id decides its text, so the hits of one id belong together
-    by_row = merged.groupBy(*keep, "n_words").agg(
-        F.max("count").alias("copies"), F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = [covered([(s["first"], s["last"]) for s in spans]) for spans in batch.column("spans").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in batch.schema.names if c != "spans"] + [pa.array(hit, pa.int64())],
-                                             [c for c in batch.schema.names if c != "spans"] + ["n_hit"])
-
-    kept = by_row.select(*keep, "n_words", "copies", "items", "spans")
-    schema = ", ".join(f"`{c}` {t}" for c, t in kept.drop("spans").dtypes) + ", n_hit long"
-    return (kept.mapInArrow(count, schema).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*keep, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items"))
-
-
-def sha256_of_items(items) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+        rows = _search(rows, patterns, text_column, spans, listed, keep if k == rounds - 1 else None, names)
+        if k < rounds - 1:
+            rows = written(rows, "hits")
+    return rows
+
+
+def _search(rows: DataFrame, patterns, text_column: str, spans: str, listed: str, keep: list[str] | None, names: tuple) -> DataFrame:
+    """All columns with what was found so far, or, with ``keep``, the results."""
+    more = spans in rows.columns
+    columns = keep or [c for c in rows.columns if c not in (spans, listed)]
+    kinds = dict(rows.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, at in arrays.slices(batches, text_column):
+            n, found = occurrences(patterns.value, data, at)
+            ids = [{i for s in row for i in s[2]} for row in found]
+            places = [{s[:2] for s in row} for row in found]
+            if more:
+                ids = [a.union(b) for a, b in zip(ids, batch.column(listed).to_pylist(), strict=True)]
+                places = [a | {(s["first"], s["last"]) for s in b} for a, b in zip(places, batch.column(spans).to_pylist(), strict=True)]
+            ids = pa.array([sorted(x) for x in ids], pa.list_(pa.string()))
+            if keep:
+                out = [pa.array(n, pa.int64()), pa.array([covered(list(x)) for x in places], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), ids]
+            else:
+                out = [pa.array([[{"first": a, "last": b} for a, b in sorted(x)] for x in places], _SPANS), ids]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *out], [*columns, *(names if keep else (spans, listed))])
+
+    added = ", ".join(f"`{c}` {t}" for c, t in (zip(names, ("long", "long", "long", "array<string>"), strict=True) if keep else ((spans, _SPANS_SQL), (listed, "array<string>"))))
+    return rows.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", " + added)

@@ -132,8 +132,9 @@ def train(docs: DataFrame, *, text_column: str = "text", language_column: str =
     return Model(languages, table)
 
 
-def identify(docs: DataFrame, model: Model | None, *, text_column: str = "text", keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of each row with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``.
+def identify(docs: DataFrame, model: Model | None, *, text_column: str = "text", keep: list[str],
+             names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """Columns ``keep`` of each row with its language, its score (0 to 1) and whether it is ambiguous, called ``names``.
 
     ``und`` with score 0 where the text is NULL or has no letter, or nothing was learnt. A text whose letters the
     n-grams do not know goes to the nearest codeword like any other, flagged ambiguous. Rows that repeat get equal answers.
@@ -143,17 +144,17 @@ def identify(docs: DataFrame, model: Model | None, *, text_column: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
+        languages = model.languages if model else [UNKNOWN]
         for rows, data, at in arrays.slices(batches, text_column):
             text = memoryview(data.tobytes())
             lettered = np.array([any(map(str.isalpha, str(text[a:b], "utf-8", "replace"))) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], bool)
             if model is None:
-                best, share, close, names = np.zeros(len(lettered), int), np.zeros(len(lettered)), lettered, [UNKNOWN]
+                best, share, close = np.zeros(len(lettered), int), np.zeros(len(lettered)), lettered
             else:
                 best, share, close, _ = model.decode(data, at)
-                names = model.languages
-            said = [names[k] if has else UNKNOWN for k, has in zip(best.tolist(), lettered.tolist(), strict=True)]
+            said = [languages[k] if has else UNKNOWN for k, has in zip(best.tolist(), lettered.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), pa.array(said, pa.string()), pa.array(np.where(lettered, share, 0.0)), pa.array(close & lettered)],
-                                             [*keep, "lang_pred", "score", "ambiguous"])
+                                             [*keep, *names])
 
     head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, text_column])).mapInArrow(run, f"{head}, lang_pred string, score double, ambiguous boolean")
+    return docs.select(*dict.fromkeys([*keep, text_column])).mapInArrow(run, f"{head}, `{names[0]}` string, `{names[1]}` double, `{names[2]}` boolean")

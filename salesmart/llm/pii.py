@@ -7,7 +7,6 @@ text, also in texts that are one long run of digits or letters.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -142,11 +141,3 @@ def masked(text: str, spans: list[dict]) -> str:
             out += [text[end : s["start"]], f"<{s['kind']}>"]
         end = max(end, s["end"])
     return "".join([*out, text[end:]])
-
-
-def listed(spans: list[dict]) -> str:
-    return ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans)
-
-
-def sha256_of(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
