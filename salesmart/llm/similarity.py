@@ -2,8 +2,9 @@
 
 Documents with equal shingle sets are one node. Nodes meet in blocks: a node lies in the block of each shingle of its
 prefix, its ``n - ceil(0.8 n) + 1`` first shingles in one order for all documents; two sets that reach the threshold
-share one of them. The order is by hash, with frequent shingles last, so that a passage that many documents share brings only
-documents together that consist of such passages.
+share one of them. The order is by hash, with frequent shingles last, so that a passage that many documents share
+brings only documents together that consist of such passages. A block is one shingle's nodes of one band of sizes and the band
+below; sizes at a ratio of 0.8 are never further apart.
 
 Inside a block the nodes are leaves of signature trees. A signature is a bitmap of hashed shingles; a tree node holds
 the OR of the bitmaps below and the range of set sizes. Two trees are walked together, and a pair of tree nodes is dropped
@@ -23,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from salesmart.llm import arrays
 from salesmart.llm.components import components
@@ -34,8 +34,9 @@ WORDS = 5
 #: A shingle of more nodes than this, or than this share of the rows, comes last in the order of the prefixes. The list
 #: of such shingles is broadcast; by the share it holds less than (mean set size) / FREQUENT_SHARE numbers.
 FREQUENT, FREQUENT_SHARE = 256, 1e-4
-#: Nodes on either side of a cell.
-CELL = 512
+#: Nodes on either side of a cell; cells of at most SMALL rows are compared without a tree above the leaves.
+CELL, SMALL = 512, 24
+CELL_KEY = ("token", "band", "i", "j")
 #: Most active ids that are broadcast (8 bytes each) to fetch their texts; more are joined.
 BROADCAST_IDS = 1_000_000
 _LEAF, _FAN = 8, 4
@@ -83,9 +84,9 @@ def node_of(members: np.ndarray) -> int:
 
 
 def signature(members: np.ndarray) -> np.ndarray:
-    """A bitmap of at least four bits per member, in bytes; its width is a power of two."""
+    """A bitmap of one to two bits per member, in bytes; its width is a power of two."""
     width = 64
-    while width < 4 * len(members):
+    while width < len(members):
         width *= 2
     bits = np.zeros(width, bool)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = True
@@ -229,14 +230,67 @@ def cell_pairs(sizes: np.ndarray, bits: list[bytes], groups: np.ndarray, left: n
                 yield px[i], py[j]
 
 
-def _walk_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches))
+def small_cell_pairs(cell: np.ndarray, sizes: np.ndarray, bits: list[bytes], groups: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for many cells of a few nodes each, whose rows stand together: every tree is a single level."""
+    width = np.array([len(b) for b in bits])
+    for w in np.unique(width).tolist():
+        places = np.flatnonzero((width == w) | (width == 2 * w))
+        held = np.array([folded(bits[p], w) for p in places])
+        hidden = sizes[places] - np.bitwise_count(held).sum(axis=1)
+        lag = 1
+        while len(near := np.flatnonzero(cell[places[lag:]] == cell[places[:-lag]])):
+            a, b = near, near + lag
+            x, y = places[a], places[b]
+            keep = (left[x] != left[y]) & (groups[x] != groups[y]) & ((width[x] == w) | (width[y] == w)) & enough(np.minimum(sizes[x], sizes[y]), sizes[x], sizes[y])
+            a, b, x, y = a[keep], b[keep], x[keep], y[keep]
+            common = np.bitwise_count(held[a] & held[b]).sum(axis=1).astype(np.int64) + np.minimum(hidden[a], hidden[b])
+            keep = enough(common, sizes[x], sizes[y])
+            yield x[keep], y[keep]
+            lag += 1
+
+
+def _walk(table: pa.Table) -> pa.RecordBatch:
+    """Pairs of the whole cells in the table, whose rows are sorted by cell."""
+    keys = [table.column(c).to_numpy() for c in CELL_KEY]
+    new = np.ones(table.num_rows, bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    cell = np.cumsum(new) - 1
     bits, nodes = table.column("bits").to_pylist(), table.column("node").to_numpy()
-    sizes, groups, left = table.column("n").to_numpy(), table.column("component").to_numpy(), table.column("left").to_numpy(zero_copy_only=False)
+    sizes, groups, left = table.column("n").to_numpy(), table.column("component").to_numpy(), table.column("left").to_numpy()
+    rows = np.bincount(cell)
     found = set()
-    for i, j in cell_pairs(sizes, bits, groups, np.flatnonzero(left), np.flatnonzero(~left)):
-        found |= {(min(a, b), max(a, b)) for a, b in zip(nodes[i].tolist(), nodes[j].tolist(), strict=True) if a != b}
-    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+
+    def note(x: np.ndarray, y: np.ndarray) -> None:
+        a, b = nodes[x], nodes[y]
+        found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+
+    small = np.flatnonzero(rows[cell] <= SMALL)
+    for x, y in small_cell_pairs(cell[small], sizes[small], [bits[k] for k in small], groups[small], left[small]):
+        note(small[x], small[y])
+    starts = np.append(np.flatnonzero(new), table.num_rows)
+    for c in np.flatnonzero(rows > SMALL).tolist():
+        own = np.arange(starts[c], starts[c + 1])
+        for x, y in cell_pairs(sizes, bits, groups, own[left[own]], own[~left[own]]):
+            note(x, y)
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+
+
+def _walk_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of a partition sorted by cell; one that a batch ends in waits for the next batch."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        last = np.ones(table.num_rows, bool)
+        for c in CELL_KEY:
+            k = table.column(c).to_numpy()
+            last &= k == k[-1:]
+        cut = table.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+        held = table.slice(cut)
+        if cut:
+            yield _walk(table.slice(0, cut))
+    if held is not None and held.num_rows:
+        yield _walk(held)
 
 
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,10 +327,18 @@ def _with_ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFr
     return pairs
 
 
-def _links(pairs: DataFrame, bitmaps: DataFrame | None, texts: DataFrame) -> DataFrame:
-    if bitmaps is not None:
-        pairs = _with_ends(pairs, bitmaps, ["n", "bits"]).mapInArrow(_may_link, "a long, b long")
-        pairs = written(pairs, "possible")
+def _sizes(a, b):
+    """Whether sets of these sizes can reach the threshold at all."""
+    return 9 * F.least(a, b) >= 4 * (a + b)
+
+
+def _linked_pairs(pairs: DataFrame, base: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of nodes that reach the threshold; texts are fetched for the nodes of pairs only."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = written(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "wanted")
+    held = base.where(F.col("id").isNotNull()).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id").select("node", "body")
+    unnamed = base.where(F.col("id").isNull()).mapInArrow(_with_node, "node long, text string").join(ids.select("node"), "node", "left_semi")
+    texts = written(held.mapInArrow(_of_node, "node long, text string").unionByName(unnamed).dropDuplicates(["node"]), "texts")
     return _with_ends(pairs, texts, ["text"]).mapInArrow(_linked, "a long, b long")
 
 
@@ -299,22 +361,22 @@ def jaccard_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     late = spark.sparkContext.broadcast(np.sort(late["token"].to_numpy().astype(np.int64).view(np.uint64)))
     nodes = written(base.select("body").mapInArrow(_prefixes(late), "node long, n long, prefix array<long>, bits binary"), "prefixes")
 
-    # rows of shingles that several nodes have in their prefixes, with the smallest of them
-    tokens = nodes.select("node", F.explode("prefix").alias("token")).repartition("token")
-    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").drop("high")
-    rows = written(tokens.join(shared, "token").distinct(), "shared")
+    # rows of shingles that several nodes have in their prefixes
+    tokens = nodes.select("node", "n", F.explode("prefix").alias("token")).repartition("token")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("token")
+    rows = tokens.join(shared, "token").distinct().withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int"))
+    rows = written(rows, "shared")
     active = rows.select("node").distinct()
     bitmaps = written(nodes.select("node", "n", "bits").join(active, "node", "left_semi").dropDuplicates(["node"]), "bitmaps")
 
-    ids = written(sets.join(active, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "active")
-    held = base.where(F.col("id").isNotNull()).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id").select("node", "body")
-    unnamed = base.where(F.col("id").isNull()).mapInArrow(_with_node, "node long, text string").join(active, "node", "left_semi")
-    texts = written(held.mapInArrow(_of_node, "node long, text string").unionByName(unnamed).dropDuplicates(["node"]), "texts")
-
-    stars = rows.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_links(stars, bitmaps, texts), "links")
+    # each node and the smallest one of its block
+    low = rows.groupBy("token", "band").agg(F.min(F.struct("node", "n")).alias("low"), F.count("*").alias("m")).where("m > 1").drop("m")
+    stars = rows.join(low, ["token", "band"]).where(F.col("node") != F.col("low.node")).where(_sizes(F.col("n"), F.col("low.n")))
+    stars = stars.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = written(_with_ends(stars, bitmaps, ["n", "bits"]).mapInArrow(_may_link, "a long, b long"), "possible")
+    links = written(_linked_pairs(pairs, base, sets), "links")
     groups = components(links)
-    more = _links(_between_groups(rows.select("token", "node"), groups, bitmaps, cell), None, texts)
+    more = _linked_pairs(_between_groups(rows, groups, bitmaps, cell), base, sets)
     groups = components(links.unionByName(more))
 
     named = splittable_join(sets, groups, ["node"], "left").select("id", "n", F.coalesce("component", "node").alias("component"))
@@ -339,28 +401,29 @@ def _with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell: int) -> DataFrame:
     """Pairs of nodes in one block and different groups that may reach the threshold."""
-    placed = rows.join(groups, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    counted = placed.groupBy("token", "component").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    blocks = counted.groupBy("token").agg(
-        F.count("*").alias("parts"), F.sum("m").alias("m"), F.max(F.struct("m", "component")).alias("main"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("parts > 1")
+    placed = rows.join(groups, "node", "left").select("token", "band", "node", F.coalesce("component", "node").alias("component"))
+    # a block is a shingle and a band; the nodes of the band below visit it
+    placed = placed.select("token", "node", "component", F.explode(F.array(F.struct("band", F.lit(False).alias("visits")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("visits")))).alias("at"))
+    placed = placed.select("token", F.col("at.band").alias("band"), F.col("at.visits").alias("visits"), "node", "component")
+    block, hashed = ["token", "band"], lambda salt: F.bit_xor(F.xxhash64("node", "visits", F.lit(salt)))
+    counted = placed.groupBy(*block, "component").agg(F.count("*").alias("m"), F.count_if(~F.col("visits")).alias("own"), hashed(0).alias("x"), hashed(1).alias("y"))
+    blocks = counted.groupBy(*block).agg(
+        F.count("*").alias("parts"), F.sum("m").alias("m"), F.sum("own").alias("own"), F.max(F.struct("m", "component")).alias("main"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    blocks = blocks.where("parts > 1 and own > 0")
     # shingles with the same nodes are one block
-    blocks = blocks.groupBy("m", "x", "y").agg(F.min(F.struct("token", "main")).alias("b")).select(
-        F.col("b.token").alias("token"), F.col("b.main.component").alias("main"), "m", (F.col("m") - F.col("b.main.m")).alias("others"))
+    blocks = blocks.groupBy("band", "m", "x", "y").agg(F.min(F.struct("token", "main")).alias("b")).select(
+        F.col("b.token").alias("token"), "band", F.col("b.main.component").alias("main"), "m", (F.col("m") - F.col("b.main.m")).alias("others"))
     cells = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(cell))).cast("int")
-    member = placed.join(blocks, "token").select(
-        "token", "node", "component", (F.col("component") != F.col("main")).alias("other"), cells(F.col("others")).alias("l"), cells(F.col("m")).alias("r"))
+    member = placed.join(blocks, block).select(
+        *block, "node", "component", (F.col("component") != F.col("main")).alias("other"), cells(F.col("others")).alias("l"), cells(F.col("m")).alias("r"))
     # nodes outside the block's largest group, on the left, meet all nodes, on the right
     spread = lambda n: F.sequence(F.lit(0), n - 1)
-    own = lambda n: F.pmod(F.xxhash64("node"), n)
-    right = member.select("token", "node", "component", F.lit(False).alias("left"), F.explode(spread(F.col("l"))).alias("i"), own(F.col("r")).cast("int").alias("j"))
-    left = member.where("other").select("token", "node", "component", F.lit(True).alias("left"), own(F.col("l")).cast("int").alias("i"), F.explode(spread(F.col("r"))).alias("j"))
-    placed = left.unionByName(right).join(bitmaps, "node")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-    return written(placed.groupBy("token", "i", "j").applyInArrow(_cell, schema).distinct(), "pairs")
-
-
-def _cell(table: pa.Table) -> pa.Table:
-    return pa.Table.from_batches(list(_walk_cells(iter(table.to_batches()))))
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    right = member.select(*block, "node", "component", F.lit(False).alias("left"), F.explode(spread(F.col("l"))).alias("i"), own(F.col("r")).alias("j"))
+    left = member.where("other").select(*block, "node", "component", F.lit(True).alias("left"), own(F.col("l")).alias("i"), F.explode(spread(F.col("r"))).alias("j"))
+    cell_rows = left.unionByName(right).join(bitmaps, "node")
+    cell_rows = cell_rows.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+    return written(cell_rows.mapInArrow(_walk_sorted, "a long, b long").distinct(), "pairs")
 
 
 def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
