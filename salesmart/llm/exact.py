@@ -37,16 +37,20 @@ def digest(data: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     return [hashlib.sha256(held[a:b]).digest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], points
 
 
-def with_digests(docs: DataFrame, text_column: str, sha: str, points: str) -> DataFrame:
-    """All columns and rows, with the digest and the number of code points."""
+def with_digests(docs: DataFrame, text_column: str, sha: str, points: str, flag: str | None = None, repeats=None) -> DataFrame:
+    """All columns and rows, with the digest and the number of code points; with ``repeats``, also whether others may have the digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in arrays.slices(batches, text_column):
-            digests, n = digest(data, at)
-            yield rows.append_column(sha, pa.array(digests, pa.binary())).append_column(points, pa.array(n, pa.int64()))
+            found, n = digest(data, at)
+            found = pa.array(found, pa.binary())
+            rows = rows.append_column(sha, found).append_column(points, pa.array(n, pa.int64()))
+            yield rows if repeats is None else rows.append_column(flag, pa.array(may_repeat(found, repeats.value)))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(sha, T.BinaryType()), T.StructField(points, T.LongType())])
-    return docs.mapInArrow(run, schema)
+    more = [T.StructField(sha, T.BinaryType()), T.StructField(points, T.LongType())]
+    if repeats is not None:
+        more.append(T.StructField(flag, T.BooleanType()))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
 def cells_of(digests: pa.Array, n_cells: int) -> np.ndarray:
@@ -92,18 +96,25 @@ def repeated_cells(digests: DataFrame, sha: str, n_cells: int) -> np.ndarray:
     return bits
 
 
-def flag_repeated(rows: DataFrame, digests: DataFrame, sha: str, flag: str, max_cells: int = MAX_CELLS) -> DataFrame:
-    """``rows`` with a column that is false only where no other row of ``digests`` has the same digest."""
+def may_repeat(digests: pa.Array, bits: np.ndarray) -> np.ndarray:
+    cells = cells_of(digests, 8 * len(bits))
+    return ((bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1).all(axis=1)
+
+
+def repeats_of(digests: DataFrame, sha: str, max_cells: int = MAX_CELLS):
+    """The filter of the digests that occur twice or more, as a broadcast."""
     n_cells = 1 << 12
     while n_cells < min(max_cells, CELLS_PER_ROW * digests.count()):
         n_cells *= 2
-    bits = rows.sparkSession.sparkContext.broadcast(repeated_cells(digests, sha, n_cells))
+    return digests.sparkSession.sparkContext.broadcast(repeated_cells(digests, sha, n_cells))
+
+
+def flag_repeated(rows: DataFrame, sha: str, flag: str, repeats) -> DataFrame:
+    """``rows`` with a column that is false only where no other row has the same digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = cells_of(batch.column(sha), n_cells)
-            hit = (bits.value[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1
-            yield batch.append_column(flag, pa.array(hit.all(axis=1)))
+            yield batch.append_column(flag, pa.array(may_repeat(batch.column(sha), repeats.value)))
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(flag, T.BooleanType())]))
 
@@ -117,7 +128,7 @@ def exact_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     """
     base = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("body"))
     digests = written(with_digests(base, "body", "sha", "points").drop("body"), "digests")
-    flagged = flag_repeated(digests, digests, "sha", "maybe", max_cells)
+    flagged = flag_repeated(digests, "sha", "maybe", repeats_of(digests, "sha", max_cells))
     alone = flagged.where(~F.col("maybe")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     rows = flagged.where("maybe").groupBy("sha", "id").agg(F.max("points").alias("points"), F.count("*").alias("copies"))
     groups = rows.groupBy("sha").agg(
@@ -133,8 +144,9 @@ def drop_copies(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     """The rows that stay, with all their columns; ties and NULLs as in ``exact_groups``."""
     sha, points, flag = unused(docs, "text_digest"), unused(docs, "code_points"), unused(docs, "may_repeat")
     digests = written(with_digests(docs.select(id_column, text_column), text_column, sha, points).drop(text_column), "digests")
-    flagged = flag_repeated(with_digests(docs, text_column, sha, points), digests, sha, flag, max_cells)
-    best = (flag_repeated(digests, digests, sha, flag, max_cells).where(flag).groupBy(sha)
+    repeats = repeats_of(digests, sha, max_cells)
+    flagged = with_digests(docs, text_column, sha, points, flag, repeats)
+    best = (flag_repeated(digests, sha, flag, repeats).where(flag).groupBy(sha)
             .agg(F.min(F.struct((-F.col(points)).alias("p"), F.col(id_column).alias("i"))).alias("best"))
             .select(F.col(sha).alias("s"), (-F.col("best.p")).alias("p"), F.col("best.i").alias("i")))
     stay = flagged.where(flag).join(

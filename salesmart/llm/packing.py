@@ -137,7 +137,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_column: str = "doc_id", tex
             names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_length"]
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in done], column), *(pa.array(x, pa.int64()) for x in longs)], names)
 
-        for rows, data, at in arrays.slices(batches, text_column):
+        for rows, data, at in arrays.slices(batches, text_column, 1 << 19):
             column = rows.column(id_column).type
             ids, bounds = ids_of.encode(data, at)
             for document, a, b in zip(rows.column(id_column).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

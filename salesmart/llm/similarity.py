@@ -369,9 +369,11 @@ def jaccard_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     active = rows.select("node").distinct()
     bitmaps = written(nodes.select("node", "n", "bits").join(active, "node", "left_semi").dropDuplicates(["node"]), "bitmaps")
 
-    # each node and the smallest one of its block
-    low = rows.groupBy("token", "band").agg(F.min(F.struct("node", "n")).alias("low"), F.count("*").alias("m")).where("m > 1").drop("m")
-    stars = rows.join(low, ["token", "band"]).where(F.col("node") != F.col("low.node")).where(_sizes(F.col("n"), F.col("low.n")))
+    # each node and the smallest one of its block; in blocks of two that is all
+    placed = _in_blocks(rows)
+    low = placed.groupBy("token", "band").agg(
+        F.min(F.struct("node", "n", "visits")).alias("low"), F.count("*").alias("m"), F.count_if(~F.col("visits")).alias("own")).where("m > 1 and own > 0").drop("m", "own")
+    stars = placed.join(low, ["token", "band"]).where((F.col("node") != F.col("low.node")) & ~(F.col("visits") & F.col("low.visits")) & _sizes(F.col("n"), F.col("low.n")))
     stars = stars.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()
     pairs = written(_with_ends(stars, bitmaps, ["n", "bits"]).mapInArrow(_may_link, "a long, b long"), "possible")
     links = written(_linked_pairs(pairs, base, sets), "links")
@@ -399,17 +401,22 @@ def _with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), rows.column("body")], ["node", "text"])
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """A block is a shingle and a band of sizes; the nodes of the band below visit it."""
+    at = F.explode(F.array(F.struct("band", F.lit(False).alias("visits")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("visits")))).alias("at")
+    rest = [c for c in rows.columns if c != "band"]
+    return rows.select(*rest, at).select(*rest, "at.band", "at.visits")
+
+
 def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell: int) -> DataFrame:
     """Pairs of nodes in one block and different groups that may reach the threshold."""
-    placed = rows.join(groups, "node", "left").select("token", "band", "node", F.coalesce("component", "node").alias("component"))
-    # a block is a shingle and a band; the nodes of the band below visit it
-    placed = placed.select("token", "node", "component", F.explode(F.array(F.struct("band", F.lit(False).alias("visits")), F.struct((F.col("band") + 1).alias("band"), F.lit(True).alias("visits")))).alias("at"))
-    placed = placed.select("token", F.col("at.band").alias("band"), F.col("at.visits").alias("visits"), "node", "component")
+    named = rows.join(groups, "node", "left").select("token", "band", "node", F.coalesce("component", "node").alias("component"))
+    placed = _in_blocks(named)
     block, hashed = ["token", "band"], lambda salt: F.bit_xor(F.xxhash64("node", "visits", F.lit(salt)))
     counted = placed.groupBy(*block, "component").agg(F.count("*").alias("m"), F.count_if(~F.col("visits")).alias("own"), hashed(0).alias("x"), hashed(1).alias("y"))
     blocks = counted.groupBy(*block).agg(
         F.count("*").alias("parts"), F.sum("m").alias("m"), F.sum("own").alias("own"), F.max(F.struct("m", "component")).alias("main"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
-    blocks = blocks.where("parts > 1 and own > 0")
+    blocks = blocks.where("parts > 1 and own > 0 and m > 2")
     # shingles with the same nodes are one block
     blocks = blocks.groupBy("band", "m", "x", "y").agg(F.min(F.struct("token", "main")).alias("b")).select(
         F.col("b.token").alias("token"), "band", F.col("b.main.component").alias("main"), "m", (F.col("m") - F.col("b.main.m")).alias("others"))
