@@ -40,7 +40,7 @@ def test_kept_rows_have_their_columns(frame):
 
 def test_unrepeated_rows_are_not_shuffled(frame):
     digests = exact.with_digests(frame([(k, f"text {k // 2 if k < 10 else k}") for k in range(400)]).withColumnRenamed("text", "body"), "body", "sha", "points")
-    flagged = exact.flag_repeated(digests, digests, "sha", "maybe")
+    flagged = exact.flag_repeated(digests, "sha", "maybe", exact.repeats_of(digests, "sha"))
     maybe = {r.doc_id for r in flagged.where("maybe").collect()}
     assert set(range(10)) <= maybe
     assert len(maybe) < 40
