@@ -1,17 +1,20 @@
 """Removal of repeated passages with a logarithmic family of suffix arrays.
 
-A suffix array here holds the suffixes of its documents that start at a winnowed place: of every ``WINNOW`` starts in a
-row the one whose next ``GRAM`` bytes hash lowest (the first of equals). Any string of ``LENGTH`` bytes holds such a
-place, the same one wherever the string stands, so two occurrences of a long string meet at suffixes that share their first ``GRAM``
-bytes. An array is sorted by the hash of these bytes and kept in as many buckets; equal beginnings are neighbours.
+A suffix array here covers the suffixes of its documents that start at a winnowed place: of every ``WINNOW`` starts in
+a row the one whose next ``GRAM`` bytes hash lowest (the first of equals). Any string of ``LENGTH`` bytes holds such a
+place, the same one wherever the string stands, so two occurrences of a long string meet at suffixes that share their
+first ``GRAM`` bytes. An array is sorted by the hash of these bytes, its beginnings, with the number of suffixes of each, and kept in as
+many buckets; the suffixes themselves are read from the documents when they are needed.
 
 Documents come in batches. A new batch gets an array of its own, which is merge-scanned against every array of the
-family, bucket by bucket, for suffixes with equal beginnings; then it joins the family. Before that, arrays of equal rank are merged, so a
-family of n batches has at most log2(n) + 1 arrays and every suffix is merged log2(n) times.
-
-The suffixes that met are compared byte by byte on both sides of their common beginning, each with the earlier ones, and
-give the bytes that lie in a string which starts earlier as well. Beginnings with many suffixes take another way: equal surroundings are first
-reduced to their earliest place, and what is left is compared by the hashes of whole strings, with no group in one task.
+family, bucket by bucket, for equal beginnings; then it joins the family. Before that, arrays of equal rank are merged,
+so a family of n batches has at most log2(n) + 1 arrays and every entry is merged log2(n) times.
+
+Suffixes whose beginnings met are looked at with their surroundings, all the strings that chose their place. Equal surroundings are
+all repeats but for the first. The first ones of different surroundings are compared byte by byte on both sides of their common
+beginning, each with the earlier ones; beginnings with many different surroundings are compared by the hashes of whole strings, so no
+group meets in one task. Two filters of bounded size tell the tasks that read the documents which suffixes to report; what a
+filter lets through for nothing is settled by the comparison.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import arrays
+from salesmart.llm import arrays, bloom
 from salesmart.llm.storage import written
 from salesmart.operators.joins import splittable_join
 
@@ -69,12 +72,10 @@ def winnowed(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[whole[first]], place, hashes[place], whole[first], whole[last]
 
 
-def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(``start``, ``key``, ``place``): hash of the beginning, document, place in it."""
-    for rows, data, at in arrays.slices(batches, "body"):
-        row, place, hashes, _, _ = winnowed(data, at)
-        keys = rows.column("key").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(keys[row]), pa.array((place - at[row]).astype(np.int32))], ["start", "key", "place"])
+def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``start``: hash of the beginning of each suffix."""
+    for _, data, at in arrays.slices(batches, "body"):
+        yield pa.RecordBatch.from_arrays([pa.array(winnowed(data, at)[2].view(np.int64))], ["start"])
 
 
 @dataclass
@@ -86,9 +87,10 @@ class Family:
     levels: list[tuple[int, str]] = field(default_factory=list)
 
     def _store(self, rows: DataFrame) -> str:
+        """``rows`` has ``start`` and ``n``, several times perhaps."""
         name = f"llm_suffixes_{uuid.uuid4().hex}"
-        (rows.repartition(self.buckets, "start").sortWithinPartitions("start", "key", "place")
-         .write.bucketBy(self.buckets, "start").sortBy("start").saveAsTable(name))
+        array = rows.repartition(self.buckets, "start").groupBy("start").agg(F.sum("n").alias("n")).sortWithinPartitions("start")
+        array.write.bucketBy(self.buckets, "start").sortBy("start").saveAsTable(name)
         return name
 
     def merge_equal(self) -> None:
@@ -99,15 +101,12 @@ class Family:
                 self.spark.sql(f"DROP TABLE {name}")
 
     def add(self, docs: DataFrame) -> list[DataFrame]:
-        """Takes a batch (``key``, ``body``) in; returns tables of the suffixes, new and old, that met another one."""
+        """Takes a batch (column ``body``) in; returns tables of the beginnings of its suffixes that met another one."""
         self.merge_equal()
-        name = self._store(docs.mapInArrow(suffix_rows, "start long, key long, place int"))
+        name = self._store(docs.select("body").mapInArrow(beginnings, "start long").withColumn("n", F.lit(1).cast("long")))
         new = self.spark.table(name)
-        again = new.groupBy("start").count().where("count > 1")
-        met = [new.join(again, "start", "left_semi")]
-        for _, other in self.levels:
-            old = self.spark.table(other)
-            met += [new.join(old, "start", "left_semi"), old.join(new, "start", "left_semi")]
+        met = [new.where("n > 1").select("start")]
+        met += [new.join(self.spark.table(other), "start", "left_semi").select("start") for _, other in self.levels]
         self.levels.append((0, name))
         return [written(m, "met") for m in met]
 
@@ -124,56 +123,43 @@ def _rows_with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(found, pa.binary()), pa.array(np.diff(at), pa.int64())], ["key", "sha", "n"])
 
 
-#: A suffix with its surroundings: ``text`` holds the strings that chose its place, ``before`` bytes of it lie before the place.
-_AROUND = "start long, text binary, before int, key long, sha binary, place int, many boolean, lo long, hi long"
+_NARROW = "start long, way long, key long, version long, place int, lo long, hi long"
+_AROUND = "start long, text binary, before int, key long, version long, place int, lo long, hi long"
+_SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For the listed places of each text. Of equal surroundings with many suffixes, a task lists the earliest and marks the rest."""
-    names = [c.split()[0] for c in _AROUND.split(", ")]
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
-    batch_of = lambda out: pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-    common: dict[tuple, tuple] = {}
-    for rows, data, at in arrays.slices(batches, "body"):
-        row, place, hashes, first, last = winnowed(data, at)
-        bounds = np.searchsorted(row, np.arange(len(at)))
-        held = data.tobytes()
-        keys, shas = rows.column("key").to_pylist(), rows.column("sha").to_pylist()
-        out = []
-        listed = rows.column("places")
-        ends = listed.offsets.to_numpy()
-        wanted = [listed.values.field(c).to_numpy().tolist() for c in ("place", "start", "often")]
-        for r in range(rows.num_rows):
-            own, w = slice(int(bounds[r]), int(bounds[r + 1])), slice(int(ends[r]), int(ends[r + 1]))
-            many = {(p, h): o for p, h, o in zip(*(c[w] for c in wanted), strict=True)}
-            base = int(at[r])
-            for p, h, a, b in zip(place[own].tolist(), hashes[own].view(np.int64).tolist(), first[own].tolist(), last[own].tolist(), strict=True):
-                if (flag := many.get((p - base, h))) is None:
-                    continue
-                item = (h, held[a : b + LENGTH], p - a, keys[r], shas[r], p - base, bool(flag), a - base, b - base)
-                if not flag:
-                    out.append(item)
-                    continue
-                held_item = common.get(item[:3])
-                if held_item is None:
-                    common[item[:3]] = item
-                elif (item[3], item[5]) < (held_item[3], held_item[5]):
-                    common[item[:3]] = item
-                    out.append((None, None, *held_item[2:]))
-                elif (item[3], item[5]) > (held_item[3], held_item[5]):
-                    out.append((None, None, *item[2:]))
-                else:
-                    out.append(item)  # the same place of a row that repeats
-        if len(common) > 100_000:
-            out += common.values()
-            common = {}
-        if out:
-            yield batch_of(out)
-    if common:
-        yield batch_of(list(common.values()))
-
-
-_MARKS = "key long, sha binary, lo long, hi long"
+def _suffix(start: np.ndarray, way: np.ndarray, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """One number for a suffix: beginning, surroundings, document and place."""
+    h = arrays.mix(start.view(np.uint64) ^ arrays.mix(way.view(np.uint64) + _SALT))
+    return arrays.mix(h ^ arrays.mix(key.view(np.uint64) * _SALT + place.astype(np.uint64))).view(np.int64)
+
+
+def _looked_at(met, wanted=None):
+    """Suffixes of documents whose beginnings are in the filter ``met``; with ``wanted``, those that it holds, with bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, at in arrays.slices(batches, "body"):
+            row, place, start, first, last = winnowed(data, at)
+            hit = np.flatnonzero(bloom.may_hold(met.value, start))
+            row, place, start, first, last = row[hit], place[hit], start[hit].view(np.int64), first[hit], last[hit]
+            way = arrays.span_hashes(arrays.running(data), first, last + LENGTH)
+            way = arrays.mix(way + (place - first).astype(np.uint64) * _SALT).view(np.int64)
+            key, version = rows.column("key").to_numpy()[row], rows.column("version").to_numpy()[row]
+            base = at[row]
+            if wanted is not None:
+                hit = np.flatnonzero(bloom.may_hold(wanted.value, _suffix(start, way, key, place - base)))
+                row, place, start, first, last, way, key, version, base = (x[hit] for x in (row, place, start, first, last, way, key, version, base))
+                held = data.tobytes()
+                seen = [pa.array([held[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], pa.binary()), pa.array((place - first).astype(np.int32))]
+            else:
+                seen = [pa.array(way)]
+            yield pa.RecordBatch.from_arrays([pa.array(start), *seen, pa.array(key), pa.array(version), pa.array((place - base).astype(np.int32)), pa.array(first - base), pa.array(last - base)],
+                                             [c.split()[0] for c in (_NARROW if wanted is None else _AROUND).split(", ")])
+
+    return run
+
+
+_MARKS = "key long, version long, lo long, hi long"
 
 
 def _aligned(texts: list[bytes], before: np.ndarray) -> np.ndarray:
@@ -189,7 +175,7 @@ def _compare(table: pa.Table) -> list[tuple]:
     """Marks for whole groups of rows with equal ``start``, in order of key and place."""
     start, key, place = (table.column(c).to_numpy() for c in ("start", "key", "place"))
     before = table.column("before").to_numpy().astype(np.int64)
-    texts, sha = table.column("text").to_pylist(), table.column("sha").to_pylist()
+    texts, version = table.column("text").to_pylist(), table.column("version").to_numpy()
     length = np.array([len(t) for t in texts])
     after = length - before  # bytes from the place on
     around = _aligned(texts, before)
@@ -214,7 +200,7 @@ def _compare(table: pa.Table) -> list[tuple]:
         low, high = np.maximum(least[x], LENGTH - right), np.minimum(before[x], left)
         hit = earlier & (low <= high)
         for k, a, b in zip(x[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-            marks.append((int(key[k]), sha[k], int(place[k]) - b, int(place[k]) - a + LENGTH))
+            marks.append((int(key[k]), int(version[k]), int(place[k]) - b, int(place[k]) - a + LENGTH))
         whole = hit & (low == least[x]) & (high == before[x])
         open_rows = x[~whole]
         lag += 1
@@ -223,7 +209,7 @@ def _compare(table: pa.Table) -> list[tuple]:
 
 def _marks_of(marks: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*marks, strict=True)) or [[], [], [], []]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], ["key", "sha", "lo", "hi"])
+    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["key", "version", "lo", "hi"])
 
 
 def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +228,7 @@ def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(``start``, ``string``, ``key``, ``sha``, ``lo``): a row for each string that chose the place, by hash."""
+    """(``start``, ``string``, ``key``, ``version``, ``lo``): a row for each string that chose the place, by hash."""
     for batch in batches:
         for row in range(0, batch.num_rows, 512):
             part = batch.slice(row, 512)
@@ -253,22 +239,16 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = at[own] + offset
             hashes = arrays.span_hashes(arrays.running(data), first, first + LENGTH).view(np.int64)
             take = pa.array(own)
-            yield pa.RecordBatch.from_arrays([part.column("start").take(take), pa.array(hashes), part.column("key").take(take), part.column("sha").take(take),
-                                              pa.array(part.column("lo").to_numpy()[own] + offset)], ["start", "string", "key", "sha", "lo"])
+            yield pa.RecordBatch.from_arrays([part.column("start").take(take), pa.array(hashes), part.column("key").take(take), part.column("version").take(take),
+                                              pa.array(part.column("lo").to_numpy()[own] + offset)], ["start", "string", "key", "version", "lo"])
 
 
 def _later_strings(many: DataFrame) -> DataFrame:
-    """Marks among suffixes whose beginnings are frequent; every step deals by what the rows hold, not by beginning alone."""
-    place = F.struct("key", "place")
-    ways = ["start", "text", "before"]
-    earliest = many.groupBy(*ways).agg(F.min(place).alias("first"))
-    seen = written(splittable_join(many, earliest, ways, "inner").withColumn("later", place > F.col("first")), "frequent")
-    again = seen.where("later").select("key", "sha", "lo", (F.col("hi") + LENGTH).alias("hi"))
-    strings = written(seen.where(~F.col("later")).select("start", "text", "key", "sha", "lo").mapInArrow(_strings, "start long, string long, key long, sha binary, lo long"), "strings")
+    """Marks among suffixes whose beginnings have many surroundings; strings are dealt by their own hash."""
+    strings = written(many.select("start", "text", "key", "version", "lo").mapInArrow(_strings, "start long, string long, key long, version long, lo long"), "strings")
     at = F.struct("key", "lo")
     first = strings.groupBy("start", "string").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = splittable_join(strings, first, ["start", "string"], "inner").where(at > F.col("first")).select("key", "sha", "lo", (F.col("lo") + LENGTH).alias("hi"))
-    return again.unionByName(later)
+    return splittable_join(strings, first, ["start", "string"], "inner").where(at > F.col("first")).select("key", "version", "lo", (F.col("lo") + LENGTH).alias("hi"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,8 +263,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(int(out.sum()))
             spans.append(int(out[0]) + int((out[1:] & ~out[:-1]).sum()))
             left.append(data[at[r] : at[r + 1]][~out].tobytes())
-        yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("sha"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary())],
-                                         ["key", "sha", "n_removed", "n_spans", "kept"])
+        yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("version"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary())],
+                                         ["key", "version", "n_removed", "n_spans", "kept"])
 
 
 def _of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -309,36 +289,54 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     twice = written(gone.join(known, "key", "left_anti"), "copies")  # ids of which every row is a copy
     alone = base.join(F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice, "key", "left_anti")
 
-    cuts = judged.where("n >= 100").approxQuantile("key", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
+    # documents of one id are told apart by a version; it is 0 for all others
+    several = written(judged.groupBy("key").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a < b").select("key", F.lit(1).alias("several")), "several")
+    few_ids = several.count() <= BROADCAST_ROWS
+
+    def versioned(rows: DataFrame, sha) -> DataFrame:
+        return (rows.join(F.broadcast(several) if few_ids else several, "key", "left")
+                .withColumn("version", F.when(F.col("several") == 1, F.xxhash64(sha)).otherwise(F.lit(0).cast("long"))).drop("several"))
+
+    alone = versioned(alone, F.sha2(F.col("body").cast("binary"), 256))
+    judged = versioned(judged, F.lower(F.hex("sha")))
+
+    cuts = judged.where(F.col("n") >= LENGTH).approxQuantile("key", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     family = Family(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
     met, edges = [], [None, *sorted(set(cuts)), None]
     for low, high in zip(edges[:-1], edges[1:], strict=True):
         batch = alone if low is None else alone.where(F.col("key") > int(low))
         met += family.add(batch if high is None else batch.where(F.col("key") <= int(high)))
-    suffixes = met[0]
+    starts = met[0]
     for m in met[1:]:
-        suffixes = suffixes.unionByName(m)
-    suffixes = written(suffixes.distinct(), "suffixes")
+        starts = starts.unionByName(m)
+    met = bloom.filter_of(written(starts.distinct(), "starts"))
     family.drop()
 
-    often = written(suffixes.groupBy("start").count().where(F.col("count") > many).select("start", F.lit(1).alias("often")), "often")
-    flagged = suffixes.join(F.broadcast(often) if often.count() <= BROADCAST_ROWS else often, "start", "left")
-    places = flagged.groupBy("key").agg(F.collect_set(F.struct("place", "start", F.coalesce("often", F.lit(0)).alias("often"))).alias("places"))
-    places = written(places, "places")
-    with_text = written(_of_keys(alone, places.select("key")).mapInArrow(_with_digest, "key long, body string, sha binary").join(places, "key"), "bodies")
-    around = written(with_text.mapInArrow(_surroundings, _AROUND), "around")
-    few = around.where(~F.col("many")).repartition("start").sortWithinPartitions("start", "key", "place").mapInArrow(_compare_sorted, _MARKS)
-    in_task = around.where(F.col("many") & F.col("start").isNull()).select("key", "sha", "lo", (F.col("hi") + LENGTH).alias("hi"))
-    marks = few.unionByName(in_task).unionByName(_later_strings(around.where(F.col("many") & F.col("start").isNotNull())))
-    marks = written(marks.groupBy("key", "sha").agg(F.collect_set(F.struct("lo", "hi")).alias("marks")), "marks")
-    cut = with_text.select("key", "sha", "body").dropDuplicates(["key", "sha"]).join(marks, ["key", "sha"]).mapInArrow(
-        _cut, "key long, sha binary, n_removed long, n_spans long, kept binary").withColumn("kept_sha", F.sha2("kept", 256))
+    narrow = written(alone.mapInArrow(_looked_at(met), _NARROW), "narrow")
+    place = F.struct("key", "place")
+    ways = written(narrow.groupBy("start", "way").agg(F.min(place).alias("first"), F.max(place).alias("last")), "ways")
+    repeated = ways.where("first < last").select("start", "way", "first")
+    later = splittable_join(narrow, repeated, ["start", "way"], "inner").where(place > F.col("first")).select("key", "version", "lo", (F.col("hi") + LENGTH).alias("hi"))
+
+    differ = written(ways.groupBy("start").count().where("count > 1"), "differ")
+    firsts = ways.join(differ, "start", "left_semi").select("start", "way", F.col("first.key").alias("key"), F.col("first.place").alias("place")).mapInArrow(_numbered, "suffix long")
+    wanted = bloom.filter_of(written(firsts, "firsts"))
+    often = written(differ.where(F.col("count") > many).select("start", F.lit(1).alias("often")), "often")
+    around = alone.mapInArrow(_looked_at(met, wanted), _AROUND)
+    around = around.join(F.broadcast(often) if often.count() <= BROADCAST_ROWS else often, "start", "left")
+    around = written(around, "around")
+    few = around.where("often IS NULL").drop("often").repartition("start").sortWithinPartitions("start", "key", "place").mapInArrow(_compare_sorted, _MARKS)
+    marks = later.unionByName(few).unionByName(_later_strings(around.where("often = 1")))
+    marks = written(marks.groupBy("key", "version").agg(F.collect_set(F.struct("lo", "hi")).alias("marks")), "marks")
+    cut = _of_keys(alone, marks.select("key").distinct()).join(marks, ["key", "version"]).mapInArrow(
+        _cut, "key long, version long, n_removed long, n_spans long, kept binary").withColumn("kept_sha", F.sha2("kept", 256))
+    cut = cut.dropDuplicates(["key", "version"])
     if not texts:
         cut = cut.drop("kept")
     whole = F.col("copy") & (F.col("n") >= LENGTH)
     empty = F.sha2(F.lit(b""), 256)
     # short copies have nothing to remove, and long ones nothing to keep
-    found = splittable_join(judged, cut, ["key", "sha"], "left").select(
+    found = splittable_join(judged, cut, ["key", "version"], "left").select(
         F.when(F.col("key") != _NULL, F.col("key")).alias(id_column), F.col("n").alias("n_bytes"),
         F.when(whole, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
@@ -346,8 +344,6 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     return found
 
 
-def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, at in arrays.slices(batches, "body"):
-        held = memoryview(data.tobytes())
-        found = [hashlib.sha256(held[a:b]).digest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([rows.column("key"), rows.column("body"), pa.array(found, pa.binary())], ["key", "body", "sha"])
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_suffix(*(batch.column(c).to_numpy() for c in ("start", "way", "key", "place"))))], ["suffix"])
