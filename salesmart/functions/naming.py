@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 
 from pyspark.sql import DataFrame
 
-_WORD_BREAK = re.compile(
-    r"(?<=[a-z0-9])(?=[A-Z])"  # CategoryID -> Category_ID; runs of capitals stay together
-    r"|[\s\-:\\/]+"            # separators found in export headers
-)
+# Characters that part words in export headers, besides white space.
+SEPARATORS = "-:\\/_"
 
 
 def snake_case(name: str) -> str:
-    """``OrderID`` / ``Order ID`` / ``order-id`` all become ``order_id``."""
-    words = _WORD_BREAK.sub("_", name.strip())
-    return re.sub(r"_{2,}", "_", re.sub(r"\W", "", words)).lower()
+    """``OrderID`` / ``Order ID`` / ``order-id`` all become ``order_id``.
+
+    A word ends at a separator, and before a capital that follows a small letter or digit; runs of capitals stay
+    together, other marks are dropped. A leading or trailing underscore of the name is kept.
+    """
+    out, before = [], ""
+    for char in name.strip():
+        if char in SEPARATORS or char.isspace():
+            if out[-1:] != ["_"]:
+                out.append("_")
+        elif char.isalnum():
+            if "A" <= char <= "Z" and ("a" <= before <= "z" or "0" <= before <= "9"):
+                out.append("_")
+            out.append(char.lower())
+        before = char
+    return "".join(out)
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:

@@ -14,10 +14,14 @@ NO_STATE_LABEL = "N/A (International)"
 
 MONEY = "decimal(18,2)"
 
+# Types of line values. Their product fits into 38 digits with all its decimals, so only results are rounded.
+QUANTITY, PRICE, DISCOUNT = "decimal(11,3)", "decimal(12,4)", "decimal(9,4)"
+LINE_TYPES = {"quantity": QUANTITY, "unit_price": PRICE, "discount": DISCOUNT}
+
 
 def as_int(column: str) -> Column:
-    """Integer out of text that may carry a spreadsheet's trailing ``.0``."""
-    return F.col(column).try_cast("double").try_cast("int")
+    """64-bit integer out of text that may carry a spreadsheet's trailing ``.0``."""
+    return F.col(column).try_cast("decimal(28,6)").try_cast("bigint")
 
 
 def parse_date(column: str, fmt: str = US_DATE) -> Column:
@@ -35,7 +39,8 @@ def null_to(column: str, label) -> Column:
 
 
 def foreign_key_or_unknown(column: str) -> Column:
-    return F.coalesce(as_int(column), F.lit(UNKNOWN_KEY))
+    """A missing key becomes the unknown member. Text that is no number stays NULL, for the parse-failure rule to report."""
+    return F.when(F.col(column).isNull(), F.lit(UNKNOWN_KEY).cast("bigint")).otherwise(as_int(column))
 
 
 def reassign_key(key: str, when: Column, new_key: int) -> Column:
@@ -50,22 +55,22 @@ def days_between(later: str, earlier: str) -> Column:
 def _net_price() -> Column:
     """Unrounded line amount after discount. Decimal all the way, so the sum does not depend on row order."""
     return (
-        F.col("quantity").cast("decimal(10,0)")
-        * F.col("unit_price").cast("decimal(12,2)")
-        * (F.lit(1) - F.col("discount").cast("decimal(5,2)"))
+        F.col("quantity").try_cast(QUANTITY)
+        * F.col("unit_price").try_cast(PRICE)
+        * (F.lit(1) - F.col("discount").try_cast(DISCOUNT))
     )
 
 
 def _cost() -> Column:
-    return F.col("quantity").cast("decimal(10,0)") * F.col("unit_cost").cast("decimal(12,2)")
+    return F.col("quantity").try_cast(QUANTITY) * F.col("unit_cost").try_cast(PRICE)
 
 
 def extended_amount() -> Column:
-    return F.round(_net_price(), 2).cast(MONEY)
+    return F.round(_net_price(), 2).try_cast(MONEY)
 
 
 def line_cost() -> Column:
-    return F.round(_cost(), 2).cast(MONEY)
+    return F.round(_cost(), 2).try_cast(MONEY)
 
 
 def raw_margin() -> Column:
@@ -74,7 +79,7 @@ def raw_margin() -> Column:
 
 
 def margin() -> Column:
-    return F.round(raw_margin(), 2).cast(MONEY)
+    return F.round(raw_margin(), 2).try_cast(MONEY)
 
 
 def percent(part: Column, whole: Column, scale: int = 4) -> Column:

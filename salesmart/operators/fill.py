@@ -32,8 +32,10 @@ def forward_fill(
         .where(F.col("_carry").isNotNull())
         .drop("_last")
     )
+    on = [F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*group, block)]  # a group may be NULL
     return (
-        filled.join(carry, [*group, block], "left")
+        filled.alias("f").join(carry.select(*group, block, "_carry").alias("c"), on, "left")
+        .select("f.*", "c._carry")
         .withColumn(column, F.coalesce(F.col(column), F.col("_carry")))
         .select(df.columns)
     )

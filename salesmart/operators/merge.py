@@ -37,7 +37,8 @@ def merge_upsert(
     are taken. ``unchanged``: equal fingerprint, row untouched. ``insert``: new key. ``kept``: only in the
     target, which nothing deletes. Keys and fingerprints compare NULL-safe, so a row stored without a
     fingerprint is updated once and a NULL key does not pile up. Columns new in the source are added.
-    A key that repeats in the source has no single row to take, so it fails the job; ``source_is_unique`` skips
+    Exact repeats in the source are one row. A key that repeats with different rows has no single row to take, so it
+    fails the job; ``source_is_unique`` skips
     that check for a batch that was deduplicated before.
 
     The shape is a left join from the target plus an anti join from the source rather than one full outer
@@ -46,7 +47,8 @@ def merge_upsert(
     """
     batch = with_fingerprint(source, keys)
     if not source_is_unique:
-        batch = require_unique(batch, keys, "merge source")
+        # exact repeats are one row; only a key with two fingerprints leaves open which row to take
+        batch = require_unique(batch.dropDuplicates([*keys, "row_hash"]), keys, "merge source")
     stored = _with_columns_of(target, batch)
     columns = stored.columns
 

@@ -67,6 +67,16 @@ def orphan_violations(
     return as_violations(missing, name, ERROR, text(f"{fk} ", F.col(fk), f" not found in {parent_name}"), record)
 
 
+def parse_failures(df: DataFrame, table: str, record: str, parsed: dict[str, Column]) -> DataFrame:
+    """One row per value that is set but cannot be read as its column's type; one scan, nothing is shuffled."""
+    failed = [
+        F.when(F.col(c).isNotNull() & typed.isNull(), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+        for c, typed in parsed.items()
+    ]
+    found = df.select(F.col(record).cast("string").alias("record"), F.explode(F.array_compact(F.array(*failed))).alias("f"))
+    return found.select(F.lit(table).alias("table_name"), "f.column_name", "record", "f.value")
+
+
 def violation_counts(violations: DataFrame) -> DataFrame:
     """The gate table an alert reads: violations per rule."""
     return violations.groupBy("rule_failed", "severity").agg(F.count("*").alias("violations"))

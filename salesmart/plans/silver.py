@@ -9,6 +9,7 @@ from salesmart.functions.audit import lineage_from_bronze
 from salesmart.functions.naming import digit_columns
 from salesmart.functions.values import (
     ISO_DATE,
+    LINE_TYPES,
     NO_STATE_LABEL,
     UNKNOWN_KEY,
     as_int,
@@ -33,7 +34,7 @@ EMPLOYEE_NUMBERS = ("emp_id", "office", "extension", "reports_to", "year_salary"
 
 
 def as_is(bronze: DataFrame) -> DataFrame:
-    """Categories, products, suppliers and order lines need no repair."""
+    """Categories, products and suppliers need no repair."""
     return lineage_from_bronze(bronze)
 
 
@@ -79,6 +80,11 @@ def orders(bronze: DataFrame) -> DataFrame:
     })
 
 
+def order_lines(bronze: DataFrame) -> DataFrame:
+    """Typed once here: what cannot be read becomes NULL and a row of the parse-failure rule."""
+    return lineage_from_bronze(bronze).withColumns({c: F.col(c).try_cast(t) for c, t in LINE_TYPES.items()})
+
+
 def correct_shipment_date(df: DataFrame) -> DataFrame:
     """Parse, keep the exported date, and put the corrected one in its place."""
     parsed = parse_date("shipment_date")
@@ -109,7 +115,7 @@ def budget(bronze: DataFrame) -> DataFrame:
     return long.where(F.col("budget_amount").isNotNull()).select(
         as_int("office").alias("office"),
         as_int("employee_id").alias("employee_id"),
-        F.col("year").cast("int").alias("year"),
+        F.col("year").try_cast("int").alias("year"),
         F.col("budget_amount").try_cast("double").alias("budget_amount"),
         *lineage,
     )
@@ -126,7 +132,20 @@ BUILDERS = {
     "dim_office": ("offices", office),
     "dim_shipper": ("shippers", shipper),
     "fact_orders": ("orders", orders),
-    "fact_order_details": ("order_details", as_is),
+    "fact_order_details": ("order_details", order_lines),
     "fact_shipments": ("shipments", shipments),
     "fact_budget": ("budget", budget),
 }
+
+
+def parsed_columns() -> dict[str, tuple[str, dict]]:
+    """What this layer reads out of text, by bronze table: the record's key and the typed form of each column."""
+    return {
+        "employees": ("emp_id", {
+            **{name: as_int(name) for name in EMPLOYEE_NUMBERS}, "hire_date": parse_date("hire_date", ISO_DATE)}),
+        "offices": ("office", {"office": as_int("office")}),
+        "customers": ("customer_id", {"birth_date": parse_date("birth_date")}),
+        "orders": ("order_id", {"order_date": parse_date("order_date"), "employee_id": as_int("employee_id")}),
+        "order_details": ("order_id", {c: F.col(c).try_cast(t) for c, t in LINE_TYPES.items()}),
+        "shipments": ("order_id", {"shipment_date": parse_date("shipment_date")}),
+    }

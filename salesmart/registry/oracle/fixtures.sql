@@ -66,9 +66,15 @@ fx_lines AS (
 ),
 fx_order_details AS (
   SELECT l_orderkey AS order_id, line_no, l_partkey AS product_id,
-         CASE WHEN l_orderkey % 400 = 3 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
-         CAST(CASE WHEN l_orderkey % 450 = 4 THEN 0 ELSE l_extendedprice END AS DECIMAL(12,2)) AS unit_price,
-         CAST(CASE WHEN l_orderkey % 600 = 11 THEN 1.5 ELSE l_discount END AS DECIMAL(5,2)) AS discount
+         CASE WHEN l_orderkey % 400 = 3 THEN '0' WHEN l_orderkey % 997 = 12 THEN 'n/a'
+              WHEN l_orderkey % 350 = 9 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '.5'
+              ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+         CASE WHEN l_orderkey % 450 = 4 THEN '0'
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)
+                   || CASE WHEN l_orderkey % 310 = 6 THEN '49' ELSE '' END END AS unit_price,
+         CASE WHEN l_orderkey % 600 = 11 THEN '1.5' WHEN l_orderkey % 5003 = 37 THEN '1500'
+              ELSE CAST(CAST(l_discount AS DECIMAL(5,2)) AS VARCHAR)
+                   || CASE WHEN l_orderkey % 330 = 8 THEN '4' ELSE '' END END AS discount
   FROM fx_lines
 ),
 fx_shipments_base AS (

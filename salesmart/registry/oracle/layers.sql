@@ -1,4 +1,9 @@
 -- The silver and gold layers in SQL.
+silver_lines AS (
+  SELECT * REPLACE (TRY_CAST(quantity AS DECIMAL(11,3)) AS quantity, TRY_CAST(unit_price AS DECIMAL(12,4)) AS unit_price,
+                    TRY_CAST(discount AS DECIMAL(9,4)) AS discount)
+  FROM fx_order_details
+),
 silver_customers AS (
   SELECT * REPLACE (COALESCE(state_province, 'N/A (International)') AS state_province,
                     CAST(try_strptime(birth_date, '%-m/%-d/%Y') AS DATE) AS birth_date)
@@ -10,21 +15,21 @@ silver_divisions AS (
   FROM fx_divisions
 ),
 silver_employees AS (
-  SELECT CAST(TRY_CAST(emp_id AS DOUBLE) AS INTEGER) AS emp_id, last_name, first_name, title,
-         CAST(hire_date AS DATE) AS hire_date, CAST(office AS INTEGER) AS office,
-         CAST(extension AS INTEGER) AS extension, CAST(TRY_CAST(reports_to AS DOUBLE) AS INTEGER) AS reports_to,
-         CAST(year_salary AS INTEGER) AS year_salary
+  SELECT CAST(TRY_CAST(emp_id AS DOUBLE) AS BIGINT) AS emp_id, last_name, first_name, title,
+         CAST(hire_date AS DATE) AS hire_date, CAST(office AS BIGINT) AS office,
+         CAST(extension AS BIGINT) AS extension, CAST(TRY_CAST(reports_to AS DOUBLE) AS BIGINT) AS reports_to,
+         CAST(year_salary AS BIGINT) AS year_salary
   FROM fx_employees
   UNION ALL SELECT -1, 'Unknown', 'Employee', NULL, NULL, NULL, NULL, NULL, NULL
 ),
-silver_offices AS (SELECT * REPLACE (CAST(office AS INTEGER) AS office) FROM fx_offices),
+silver_offices AS (SELECT * REPLACE (CAST(office AS BIGINT) AS office) FROM fx_offices),
 silver_shippers AS (
   SELECT shipper_id, company_name FROM fx_shippers
   UNION ALL SELECT 4, 'Unknown Shipper — Pending Confirmation'
   UNION ALL SELECT 5, 'Unknown Shipper — Pending Confirmation'
 ),
 silver_orders AS (
-  SELECT order_id, customer_id, COALESCE(employee_id, -1) AS employee_id, shipper_id,
+  SELECT order_id, customer_id, CAST(COALESCE(employee_id, -1) AS BIGINT) AS employee_id, shipper_id,
          CAST(try_strptime(order_date, '%-m/%-d/%Y') AS DATE) AS order_date
   FROM fx_orders
 ),
@@ -38,7 +43,7 @@ silver_shipments AS (
   WHERE rn = 1
 ),
 silver_budget AS (
-  SELECT CAST(office AS INTEGER) AS office, CAST(employee_id AS INTEGER) AS employee_id,
+  SELECT CAST(office AS BIGINT) AS office, CAST(employee_id AS BIGINT) AS employee_id,
          CAST(year AS INTEGER) AS year, CAST(budget_amount AS DOUBLE) AS budget_amount
   FROM (
     SELECT office, employee_id, '1995' AS year, "1995" AS budget_amount FROM fx_budget
@@ -59,10 +64,10 @@ gold_dates AS (
 gold_sales AS (
   SELECT d.order_id, d.line_no, o.order_date, s.shipment_date, o.customer_id, o.employee_id, d.product_id,
          s.shipper_id, d.quantity, d.unit_price, d.discount,
-         CAST(round(d.quantity * d.unit_price * (1 - d.discount), 2) AS DECIMAL(18,2)) AS extended_amount,
-         CAST(round(d.quantity * d.unit_price * (1 - d.discount) - d.quantity * p.unit_cost, 2) AS DECIMAL(18,2))
+         CAST(round(CAST(d.quantity AS DECIMAL(20,3)) * d.unit_price * (1 - d.discount), 2) AS DECIMAL(18,2)) AS extended_amount,
+         CAST(round(CAST(d.quantity AS DECIMAL(20,3)) * d.unit_price * (1 - d.discount) - CAST(d.quantity AS DECIMAL(20,3)) * p.unit_cost, 2) AS DECIMAL(18,2))
            AS margin
-  FROM fx_order_details d
+  FROM silver_lines d
   LEFT JOIN silver_orders o ON d.order_id = o.order_id
   LEFT JOIN silver_shipments s ON d.order_id = s.order_id AND d.line_no = s.line_no
   LEFT JOIN fx_products p ON d.product_id = p.product_id
@@ -106,28 +111,28 @@ dq_orders AS (
 dq_order_details AS (
   SELECT order_id, 'ORPHAN_PRODUCT_ID' AS rule_failed, 'ERROR' AS severity,
          'product_id ' || CAST(product_id AS VARCHAR) || ' not found in gold.dim_product' AS detail
-  FROM fx_order_details d WHERE product_id IS NOT NULL
+  FROM silver_lines d WHERE product_id IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM fx_products p WHERE p.product_id = d.product_id)
   UNION ALL
   SELECT order_id, 'DISCOUNT_OUT_OF_RANGE', 'ERROR',
          'discount ' || CAST(discount AS VARCHAR) || ' is outside the valid 0-1 range'
-  FROM fx_order_details WHERE discount < 0 OR discount > 1
+  FROM silver_lines WHERE discount < 0 OR discount > 1
   UNION ALL
   SELECT order_id, 'NON_POSITIVE_QUANTITY', 'ERROR', 'quantity ' || CAST(quantity AS VARCHAR) || ' is zero or negative'
-  FROM fx_order_details WHERE quantity <= 0
+  FROM silver_lines WHERE quantity <= 0
   UNION ALL
   SELECT order_id, 'NON_POSITIVE_UNIT_PRICE', 'ERROR',
          'unit_price ' || CAST(unit_price AS VARCHAR) || ' is zero or negative'
-  FROM fx_order_details WHERE unit_price <= 0
+  FROM silver_lines WHERE unit_price <= 0
   UNION ALL
   SELECT d.order_id, 'NEGATIVE_MARGIN', 'WARNING',
          'line margin is negative: extended_amount '
-         || CAST(CAST(round(d.quantity * d.unit_price * (1 - d.discount), 2) AS DECIMAL(18,2)) AS VARCHAR)
-         || ' vs. cost ' || CAST(CAST(round(d.quantity * p.unit_cost, 2) AS DECIMAL(18,2)) AS VARCHAR)
+         || CAST(CAST(round(CAST(d.quantity AS DECIMAL(20,3)) * d.unit_price * (1 - d.discount), 2) AS DECIMAL(18,2)) AS VARCHAR)
+         || ' vs. cost ' || CAST(CAST(round(CAST(d.quantity AS DECIMAL(20,3)) * p.unit_cost, 2) AS DECIMAL(18,2)) AS VARCHAR)
          || ' -- discount of ' || CAST(CAST(round(d.discount * 100, 1) AS DECIMAL(9,1)) AS VARCHAR)
          || '% likely too aggressive'
-  FROM fx_order_details d JOIN fx_products p ON d.product_id = p.product_id
-  WHERE d.quantity * d.unit_price * (1 - d.discount) - d.quantity * p.unit_cost < 0
+  FROM silver_lines d JOIN fx_products p ON d.product_id = p.product_id
+  WHERE CAST(d.quantity AS DECIMAL(20,3)) * d.unit_price * (1 - d.discount) - CAST(d.quantity AS DECIMAL(20,3)) * p.unit_cost < 0
 ),
 dq_shipments AS (
   SELECT order_id, 'ORPHAN_SHIPPER_ID' AS rule_failed, 'ERROR' AS severity,

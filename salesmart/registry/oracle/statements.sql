@@ -81,10 +81,10 @@ UNION ALL SELECT 5, 'Unknown Shipper — Pending Confirmation', NULL, NULL
 -- name: silver_orders
 SELECT *, 'orders' AS bronze_source_file_name, 'SALES_FILES' AS bronze_source_system FROM silver_orders
 -- name: silver_order_details
-SELECT order_id, line_no, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+SELECT order_id, line_no, product_id, CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, 'order_details' AS bronze_source_file_name,
        'SALES_FILES' AS bronze_source_system
-FROM fx_order_details
+FROM silver_lines
 -- name: silver_shipments
 SELECT *, 'shipments' AS bronze_source_file_name, 'SALES_FILES' AS bronze_source_system FROM silver_shipments
 -- name: dim_date
@@ -119,11 +119,11 @@ UNION ALL SELECT 5, 'Unknown Shipper — Pending Confirmation', NULL
 -- name: dim_division
 SELECT *, 'SALES_FILES' AS bronze_source_system FROM silver_divisions
 -- name: gold_passthrough
-SELECT order_id, line_no, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+SELECT order_id, line_no, product_id, CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, 'SALES_FILES' AS bronze_source_system
-FROM fx_order_details
+FROM silver_lines
 -- name: fact_sales
-SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount,
+SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount,
                   CAST(extended_amount AS DOUBLE) AS extended_amount, CAST(margin AS DOUBLE) AS margin)
 FROM gold_sales
 -- name: fact_budget
@@ -308,6 +308,8 @@ FROM (
   UNION ALL SELECT 'employees', count(*) FROM nation
   UNION ALL SELECT 'orders', count(*) FROM orders
   UNION ALL SELECT 'order_details', count(*) FROM lineitem
+  UNION ALL SELECT 'divisions', count(*) + count(*) FILTER (WHERE r_regionkey = 1) FROM region
+  UNION ALL SELECT 'categories', count(DISTINCT p_brand) FROM part
   UNION ALL SELECT 'shipments', count(*) + count(*) FILTER (WHERE l_orderkey % 120 = 1) FROM lineitem
 ) e JOIN (
   SELECT 'customers' AS table_name, count(*) AS actual_rows FROM fx_customers
@@ -318,6 +320,8 @@ FROM (
   UNION ALL SELECT 'employees', count(*) FROM fx_employees
   UNION ALL SELECT 'orders', count(*) FROM fx_orders
   UNION ALL SELECT 'order_details', count(*) FROM fx_order_details
+  UNION ALL SELECT 'divisions', count(*) FROM fx_divisions
+  UNION ALL SELECT 'categories', count(*) FROM fx_categories
   UNION ALL SELECT 'shipments', count(*) FROM fx_shipments
 ) a ON e.table_name = a.table_name
 -- name: dq_orders
@@ -378,10 +382,10 @@ FROM (SELECT product_id, count(*) AS losing_lines, sum(margin) AS total_loss
 JOIN fx_products p ON t.product_id = p.product_id
 ORDER BY t.total_loss, t.product_id LIMIT 10
 -- name: losing_lines_at_tier
-SELECT order_id, line_no, product_name, quantity, CAST(s.unit_price AS DOUBLE) AS unit_price,
+SELECT order_id, line_no, product_name, CAST(quantity AS DOUBLE) AS quantity, CAST(s.unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, CAST(margin AS DOUBLE) AS margin
 FROM gold_sales s JOIN fx_products p ON s.product_id = p.product_id
-WHERE discount = CAST('0.10' AS DECIMAL(5,2)) AND margin < 0
+WHERE discount = CAST('0.10' AS DECIMAL(9,4)) AND margin < 0
 ORDER BY s.margin, order_id, line_no LIMIT 5
 -- name: discount_tier_summary
 SELECT CAST(discount AS DOUBLE) AS discount, count(*) AS total_lines, count(*) FILTER (WHERE margin < 0)
@@ -458,3 +462,21 @@ FROM (
   UNION ALL SELECT 'shipments', count(*) FROM fx_shipments GROUP BY order_id, line_no
   UNION ALL SELECT 'budget', count(*) FROM fx_budget GROUP BY office, employee_id
 ) t GROUP BY table_name
+
+-- name: dq_parse_failures
+SELECT 'order_details' AS table_name, 'quantity' AS column_name, CAST(order_id AS VARCHAR) AS record, quantity AS value
+FROM fx_order_details WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS DECIMAL(11,3)) IS NULL
+UNION ALL SELECT 'order_details', 'unit_price', CAST(order_id AS VARCHAR), unit_price
+FROM fx_order_details WHERE unit_price IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(12,4)) IS NULL
+UNION ALL SELECT 'order_details', 'discount', CAST(order_id AS VARCHAR), discount
+FROM fx_order_details WHERE discount IS NOT NULL AND TRY_CAST(discount AS DECIMAL(9,4)) IS NULL
+UNION ALL SELECT 'orders', 'order_date', CAST(order_id AS VARCHAR), order_date
+FROM fx_orders WHERE order_date IS NOT NULL AND try_strptime(order_date, '%-m/%-d/%Y') IS NULL
+UNION ALL SELECT 'shipments', 'shipment_date', CAST(order_id AS VARCHAR), shipment_date
+FROM fx_shipments WHERE shipment_date IS NOT NULL AND try_strptime(shipment_date, '%-m/%-d/%Y') IS NULL
+UNION ALL SELECT 'customers', 'birth_date', CAST(customer_id AS VARCHAR), birth_date
+FROM fx_customers WHERE birth_date IS NOT NULL AND try_strptime(birth_date, '%-m/%-d/%Y') IS NULL
+UNION ALL SELECT 'employees', 'emp_id', emp_id, emp_id
+FROM fx_employees WHERE emp_id IS NOT NULL AND TRY_CAST(emp_id AS DOUBLE) IS NULL
+UNION ALL SELECT 'offices', 'office', office, office
+FROM fx_offices WHERE office IS NOT NULL AND TRY_CAST(office AS DOUBLE) IS NULL

@@ -12,6 +12,7 @@ from salesmart.functions.audit import lineage_from_bronze, normalize_schema
 from salesmart.functions.values import NO_STATE_LABEL, foreign_key_or_unknown, null_to, parse_date
 from salesmart.operators import integrity, keys, merge, profile, reconcile
 from salesmart.operators.fill import forward_fill
+from salesmart.operators.rules import parse_failures
 from salesmart.operators.unions import labeled_union, union_by_name
 from salesmart.plans import analysis, gold, loads, quality, silver
 from salesmart.plans.tables import BRONZE_KEYS, FOREIGN_KEYS, GOLD_KEYS
@@ -25,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LINE_KEY = ["order_id", "line_no"]
 LOSS_TIER = "0.10"
 YTD_DAY = 180
-SHIPMENT_FILES = ["Shipments01.csv", "Shipments02.csv", "Shipments03.csv"]
+ORDER_SHIPPER = next(k for k in FOREIGN_KEYS if (k.child, k.parent) == ("orders", "shippers"))
 PROFILED = ["orders", "employees", "shipments"]
 NUMERIC_OUTPUT_METADATA = ("bronze_created_at", "bronze_updated_at", "created_at", "updated_at")
 
@@ -46,9 +47,10 @@ def _normalized_orders(s: SalesSources) -> DataFrame:
 
 
 def _shipment_slices(s: SalesSources) -> dict[str, DataFrame]:
-    """The shipment exports as the separate files they stand for."""
+    """The shipment exports as the separate files they stand for, every second one with its columns in another order."""
     columns = ["order_id", "line_no", "shipper_id", "shipment_date"]
-    return {name: _shipments(s).where(F.col("source_file") == name).select(columns) for name in SHIPMENT_FILES}
+    files = sorted(r.source_file for r in _shipments(s).select("source_file").distinct().collect())
+    return {name: _shipments(s).where(F.col("source_file") == name).select(columns[:: 1 - 2 * (k % 2)]) for k, name in enumerate(files)}
 
 
 def _merged(s: SalesSources) -> DataFrame:
@@ -121,9 +123,12 @@ def _row_count_reconcile(s: SalesSources) -> DataFrame:
         "customers": "customer", "products": "part", "suppliers": "supplier", "shippers": "supplier",
         "offices": "region", "employees": "nation", "orders": "orders", "order_details": "lineitem",
     }
+    split = s.table("region").agg(
+        F.lit("divisions").alias("table_name"), (F.count("*") + F.count_if(F.col("r_regionkey") == 1)).alias("expected_rows"))
+    brands = s.table("part").agg(F.lit("categories").alias("table_name"), F.count_distinct("p_brand").alias("expected_rows"))
     expected = reconcile.table_counts({name: s.table(table) for name, table in origin.items()}, "expected_rows")
-    actual = reconcile.table_counts({name: s.raw(name) for name in [*origin, "shipments"]}, "actual_rows")
-    return reconcile.reconcile_counts(expected.unionByName(twice), actual)
+    actual = reconcile.table_counts({name: s.raw(name) for name in [*origin, "shipments", "divisions", "categories"]}, "actual_rows")
+    return reconcile.reconcile_counts(union_by_name([expected, twice, split, brands]), actual)
 
 
 def _findings(s: SalesSources) -> DataFrame:
@@ -228,7 +233,7 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     ]),
     "gold_validation_summary": lambda s: quality.validation_summary({name: s.gold(name) for name in GOLD_KEYS}),
     "audit_timestamps": _audit_timestamps,
-    "referential_integrity": lambda s: integrity.orphans(_sources(s), FOREIGN_KEYS[:1]),
+    "referential_integrity": lambda s: integrity.orphans(_sources(s), [ORDER_SHIPPER]),
     "referential_integrity_all": lambda s: integrity.orphans(_sources(s), FOREIGN_KEYS),
     "referential_integrity_counts": lambda s: integrity.integrity_counts(_sources(s), FOREIGN_KEYS),
     "row_count_reconcile": _row_count_reconcile,
@@ -236,6 +241,8 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     "dq_orders": _dq_orders,
     "dq_order_details": _dq_order_details,
     "dq_shipments": _dq_shipments,
+    "dq_parse_failures": lambda s: union_by_name(
+        parse_failures(s.raw(name), name, record, parsed) for name, (record, parsed) in silver.parsed_columns().items()),
     "dq_summary": lambda s: quality.dq_summary(_dq_views(s)),
     "dq_gate": lambda s: quality.dq_gate(_dq_views(s)),
     "shipment_before_order": lambda s: quality.shipments_before_order(

@@ -92,8 +92,15 @@ def test_line_measures_are_exact(spark):
                                "quantity int, unit_price string, discount string, unit_cost string").select(
         "quantity", *[F.col(c).cast("decimal(12,3)").alias(c) for c in ("unit_price", "discount", "unit_cost")])
     amounts = df.select(values.extended_amount().cast("string"), values.margin().cast("string")).collect()
-    # 1.005 is stored as 1.01 at the price's scale of two before anything is multiplied
-    assert [tuple(r) for r in amounts] == [("3.03", "1.53"), ("7.50", None)]
+    # only the result is rounded: 3 * 1.005 is 3.015
+    assert [tuple(r) for r in amounts] == [("3.02", "1.52"), ("7.50", None)]
+
+
+def test_line_measures_keep_decimals_and_never_fail(spark):
+    rows = [("1.5", "10", "0", "0"), ("2", "10", "0.125", "0"), ("100", "0.0149", "0", "0"), ("2", "10", "1500", "1"), ("n/a", "10", "0", "1"), ("99999999999", "1", "0", "1")]
+    df = spark.createDataFrame(rows, "quantity string, unit_price string, discount string, unit_cost string")
+    amounts = [r[0] for r in df.select(values.extended_amount().cast("string")).collect()]
+    assert amounts == ["15.00", "17.50", "1.49", "-29980.00", None, None]
 
 
 def test_percent_of_nothing_is_null(spark):
