@@ -9,7 +9,7 @@ below; sizes at a ratio of 0.8 are never further apart.
 Inside a block the nodes are leaves of signature trees. A signature is a bitmap of hashed shingles; a tree node holds
 the OR of the bitmaps below and the range of set sizes. Two trees are walked together, and a pair of tree nodes is dropped
 when no pair of sets below can reach the threshold: they differ too much in size, or their common bits, and what may
-hide behind shared bits, are too few. Surviving pairs are compared exactly, on the texts.
+hide behind shared bits, are too few. Nodes that keep a partner are compared exactly, on their texts, in the same cell.
 
 Links only matter between different groups. First every node is compared with the smallest node of each of its blocks,
 and blocks whose nodes are all in one group by then are done; only the others are walked, and only between groups. A
@@ -249,48 +249,102 @@ def small_cell_pairs(cell: np.ndarray, sizes: np.ndarray, bits: list[bytes], gro
             lag += 1
 
 
-def _walk(table: pa.Table) -> pa.RecordBatch:
-    """Pairs of the whole cells in the table, whose rows are sorted by cell."""
+def _pairs_of_cells(table: pa.Table, sizes: np.ndarray, bits: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in whole cells, whose rows stand together."""
     keys = [table.column(c).to_numpy() for c in CELL_KEY]
     new = np.ones(table.num_rows, bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     cell = np.cumsum(new) - 1
-    bits, nodes = table.column("bits").to_pylist(), table.column("node").to_numpy()
-    sizes, groups, left = table.column("n").to_numpy(), table.column("component").to_numpy(), table.column("left").to_numpy()
+    groups, left = table.column("component").to_numpy(), table.column("left").to_numpy()
     rows = np.bincount(cell)
-    found = set()
-
-    def note(x: np.ndarray, y: np.ndarray) -> None:
-        a, b = nodes[x], nodes[y]
-        found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
-
     small = np.flatnonzero(rows[cell] <= SMALL)
     for x, y in small_cell_pairs(cell[small], sizes[small], [bits[k] for k in small], groups[small], left[small]):
-        note(small[x], small[y])
+        yield small[x], small[y]
     starts = np.append(np.flatnonzero(new), table.num_rows)
     for c in np.flatnonzero(rows > SMALL).tolist():
         own = np.arange(starts[c], starts[c + 1])
         for x, y in cell_pairs(sizes, bits, groups, own[left[own]], own[~left[own]]):
-            note(x, y)
-    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
+            yield x, y
+
+
+def _with_partners(table: pa.Table) -> list[pa.RecordBatch]:
+    """The rows of cells that may link to another one; never more than there are."""
+    some = np.zeros(table.num_rows, bool)
+    for x, y in _pairs_of_cells(table, table.column("n").to_numpy(), table.column("bits").to_pylist()):
+        some[x] = some[y] = True
+    return table.filter(pa.array(some)).select([*CELL_KEY, "node", "component", "left"]).combine_chunks().to_batches(max_chunksize=1 << 30)
+
+
+def common_members(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (x, y) of places."""
+    if len(x) < 256:
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(x.tolist(), y.tolist(), strict=True)], np.int64)
+    # many pairs of few sets: products of the incidence matrix, a block of members at a time
+    px, own_x = np.unique(x, return_inverse=True)
+    py, own_y = np.unique(y, return_inverse=True)
+    member = np.concatenate([sets[p] for p in (*px, *py)])
+    row = np.repeat(np.arange(len(px) + len(py)), [len(sets[p]) for p in (*px, *py)])
+    names, column, times = np.unique(member, return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    keep = times[column] > 1
+    row, column = row[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(px), len(py)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        own = slice(*np.searchsorted(column, (first, first + 4096)))
+        has = np.zeros((len(px) + len(py), 4096), np.float32)
+        has[row[own], column[own] - first] = 1
+        common += has[: len(px)] @ has[len(px) :].T
+    return common[own_x, own_y].astype(np.int64)
+
+
+def _links_of_cells(table: pa.Table) -> list[pa.RecordBatch]:
+    """Links inside whole cells that join different groups: as many as join them, not all."""
+    sets = []
+    for row in range(0, table.num_rows, 256):
+        sets += shingle_sets(*arrays.texts(table.column("text").slice(row, 256).combine_chunks()))
+    sizes, nodes, groups = np.array([len(s) for s in sets], np.int64), table.column("node").to_numpy(), table.column("component").to_numpy()
+    parent: dict[int, int] = {}
+
+    def root(g: int) -> int:
+        while (up := parent.get(g, g)) != g:
+            g = up
+        return g
+
+    links = []
+    for x, y in _pairs_of_cells(table, sizes, [signature(s).tobytes() for s in sets]):
+        for part in range(0, len(x), 1 << 16):
+            i, j = x[part : part + (1 << 16)], y[part : part + (1 << 16)]
+            true = enough(common_members(sets, i, j), sizes[i], sizes[j])
+            for a, b in zip(i[true].tolist(), j[true].tolist(), strict=True):
+                ga, gb = root(int(groups[a])), root(int(groups[b]))
+                if ga != gb:
+                    parent[max(ga, gb)] = min(ga, gb)
+                    links.append((int(nodes[a]), int(nodes[b])))
+    return [pa.RecordBatch.from_arrays([pa.array([k[0] for k in links], pa.int64()), pa.array([k[1] for k in links], pa.int64())], ["a", "b"])]
+
+
+def _by_cell(handle):
+    """``handle`` over the cells of a partition sorted by cell; one that a batch ends in waits for the next batch."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            last = np.ones(table.num_rows, bool)
+            for c in CELL_KEY:
+                k = table.column(c).to_numpy()
+                last &= k == k[-1:]
+            cut = table.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+            held = table.slice(cut)
+            if cut:
+                yield from handle(table.slice(0, cut))
+        if held is not None and held.num_rows:
+            yield from handle(held)
 
-def _walk_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of a partition sorted by cell; one that a batch ends in waits for the next batch."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        last = np.ones(table.num_rows, bool)
-        for c in CELL_KEY:
-            k = table.column(c).to_numpy()
-            last &= k == k[-1:]
-        cut = table.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
-        held = table.slice(cut)
-        if cut:
-            yield _walk(table.slice(0, cut))
-    if held is not None and held.num_rows:
-        yield _walk(held)
+    return run
 
 
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,13 +386,17 @@ def _sizes(a, b):
     return 9 * F.least(a, b) >= 4 * (a + b)
 
 
-def _linked_pairs(pairs: DataFrame, base: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of nodes that reach the threshold; texts are fetched for the nodes of pairs only."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _texts_of(wanted: DataFrame, base: DataFrame, sets: DataFrame) -> DataFrame:
+    """(``node``, ``text``): one text of each wanted node."""
     ids = written(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")), "wanted")
     held = base.where(F.col("id").isNotNull()).join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id").select("node", "body")
     unnamed = base.where(F.col("id").isNull()).mapInArrow(_with_node, "node long, text string").join(ids.select("node"), "node", "left_semi")
-    texts = written(held.mapInArrow(_of_node, "node long, text string").unionByName(unnamed).dropDuplicates(["node"]), "texts")
+    return written(held.mapInArrow(_of_node, "node long, text string").unionByName(unnamed).dropDuplicates(["node"]), "texts")
+
+
+def _linked_pairs(pairs: DataFrame, base: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of nodes that reach the threshold; texts are fetched for the nodes of pairs only."""
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), base, sets)
     return _with_ends(pairs, texts, ["text"]).mapInArrow(_linked, "a long, b long")
 
 
@@ -378,7 +436,9 @@ def jaccard_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     pairs = written(_with_ends(stars, bitmaps, ["n", "bits"]).mapInArrow(_may_link, "a long, b long"), "possible")
     links = written(_linked_pairs(pairs, base, sets), "links")
     groups = components(links)
-    more = _linked_pairs(_between_groups(rows, groups, bitmaps, cell), base, sets)
+    partners = _between_groups(rows, groups, bitmaps, cell)
+    texts = _texts_of(partners.select("node").distinct(), base, sets)
+    more = partners.join(texts, "node").repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_by_cell(_links_of_cells), "a long, b long")
     groups = components(links.unionByName(more))
 
     named = splittable_join(sets, groups, ["node"], "left").select("id", "n", F.coalesce("component", "node").alias("component"))
@@ -409,7 +469,7 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell: int) -> DataFrame:
-    """Pairs of nodes in one block and different groups that may reach the threshold."""
+    """The rows of cells, nodes by block, that may reach the threshold with another one of the cell and of another group."""
     named = rows.join(groups, "node", "left").select("token", "band", "node", F.coalesce("component", "node").alias("component"))
     placed = _in_blocks(named)
     block, hashed = ["token", "band"], lambda salt: F.bit_xor(F.xxhash64("node", "visits", F.lit(salt)))
@@ -430,7 +490,9 @@ def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell
     left = member.where("other").select(*block, "node", "component", F.lit(True).alias("left"), own(F.col("l")).alias("i"), F.explode(spread(F.col("r"))).alias("j"))
     cell_rows = left.unionByName(right).join(bitmaps, "node")
     cell_rows = cell_rows.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
-    return written(cell_rows.mapInArrow(_walk_sorted, "a long, b long").distinct(), "pairs")
+    kinds = dict(cell_rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*CELL_KEY, "node", "component", "left"))
+    return written(cell_rows.mapInArrow(_by_cell(_with_partners), schema), "partners")
 
 
 def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
