@@ -103,3 +103,11 @@ def test_components_of_a_long_chain_and_a_star(frame):
 
 def test_no_rows(frame):
     assert similarity.jaccard_groups(frame([])).count() == 0
+
+
+def test_common_members_of_many_pairs():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 900, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
+    x, y = (k.ravel() for k in np.meshgrid(np.arange(20), np.arange(20, 40)))
+    few = np.concatenate([similarity.common_members(sets, x[k : k + 100], y[k : k + 100]) for k in range(0, 400, 100)])
+    assert (similarity.common_members(sets, x, y) == few).all()
