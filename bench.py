@@ -22,7 +22,7 @@ HEADLINE = [
     "referential_integrity_all", "dq_orders", "dq_order_details", "dq_shipments", "dq_gate",
     "gold_validation_summary", "days_to_ship_by_file", "employee_default_pattern", "discount_tier_summary",
     "negative_margin_summary", "top_loss_products", "shipper_coverage", "order_value", "margin_by_employee",
-    "ytd_vs_ly", "findings_table", "row_hash", "merge_upsert", "merge_changes", "run_audit",
+    "ytd_vs_ly", "findings_table", "row_hash", "merge_upsert", "merge_changes", "pipeline_audit",
 ]
 
 

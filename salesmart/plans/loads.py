@@ -7,12 +7,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.keys import key_counts, validate_key
+from salesmart.operators.merge import CHANGE, merge_upsert
 from salesmart.operators.unions import union_by_name
 from salesmart.sources.tables import WriteCounts, append_audit, audit_row, upsert_partitions, upsert_table
 
@@ -82,15 +84,19 @@ def _isolated(spark: SparkSession, spec: LoadSpec) -> LoadResult:
 def run_loads(
     spark: SparkSession, specs: list[LoadSpec], run_id: str, run_ts: datetime, audit_table: str, parallel: int = 1
 ) -> list[LoadResult]:
-    """Load all tables and write one audit row each. Independent tables may run side by side."""
-    run_one = inheritable_thread_target(spark)(_isolated) if parallel > 1 else _isolated
+    """Load all tables; each writes its audit row when it ends, failed or not. Independent tables may run side by side."""
+    lock = Lock()
+
+    def load(spec: LoadSpec) -> LoadResult:
+        result = _isolated(spark, spec)
+        with lock:  # the first row of a log creates its table
+            append_audit(spark, audit_table, [audit_row(
+                run_id, spec.table, spec.source, run_ts, result.rows_read, result.counts, result.status, result.error)])
+        return result
+
+    run_one = inheritable_thread_target(spark)(load) if parallel > 1 else load
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(lambda spec: run_one(spark, spec), specs))
-    append_audit(spark, audit_table, [
-        audit_row(run_id, spec.table, spec.source, run_ts, r.rows_read, r.counts, r.status, r.error)
-        for spec, r in zip(specs, results, strict=True)
-    ])
-    return results
+        return list(pool.map(run_one, specs))
 
 
 def run_summary(spark: SparkSession, audit_table: str, run_id: str) -> DataFrame:
@@ -105,19 +111,22 @@ def status_counts(spark: SparkSession, audit_table: str, run_id: str) -> DataFra
     return run_summary(spark, audit_table, run_id).groupBy("status").agg(F.count("*").alias("table_count"))
 
 
-def first_load_audit(specs: list[LoadSpec]) -> DataFrame:
-    """The audit rows a first run would write, without writing: every row read is inserted as it is."""
-    rows = F.coalesce(F.sum("row_count"), F.lit(0))
+def merge_audit(table: str, stored: DataFrame, batch: DataFrame, keys: list[str], counted_again: DataFrame) -> DataFrame:
+    """The audit row of merging ``batch`` into ``stored``: rows read, what the merge did, repeated keys, and whether a
+    second reading of the source (``counted_again``, one row ``n``) has as many rows.
 
-    def audited(spec: LoadSpec) -> DataFrame:
-        return key_counts(spec.frame(), spec.keys).agg(
-            F.lit(spec.table).alias("table_name"),
-            rows.alias("rows_read"),
-            rows.alias("rows_inserted"),
-            F.lit(0).cast("long").alias("rows_updated"),
-            rows.alias("rows_total"),
-            F.count_if(F.col("row_count") > 1).alias("duplicate_keys"),
-            F.lit("SUCCESS").alias("status"),
-        )
-
-    return union_by_name(audited(spec) for spec in specs)
+    Three aggregations give a row each, which one grouping adds up.
+    """
+    merged = merge_upsert(stored, batch, keys)
+    did = lambda change: F.count_if(F.col(CHANGE) == change)
+    parts = [
+        batch.agg(F.count("*").alias("rows_read")),
+        merged.agg(did("insert").alias("rows_inserted"), did("update").alias("rows_updated"), F.count("*").alias("rows_total")),
+        key_counts(batch, keys).agg(F.count_if(F.col("row_count") > 1).alias("duplicate_keys")),
+        counted_again.select(F.col("n").alias("expected")),
+    ]
+    names = ["rows_read", "rows_inserted", "rows_updated", "rows_total", "duplicate_keys", "expected"]
+    rows = [p.select(*[(F.col(c) if c in p.columns else F.lit(0)).cast("long").alias(c) for c in names]) for p in parts]
+    summed = union_by_name(rows).agg(*[F.sum(c).alias(c) for c in names])
+    status = F.when(F.col("rows_read") == F.col("expected"), "SUCCESS").otherwise("WARNING")
+    return summed.select(F.lit(table).alias("table_name"), *names[:-1], status.alias("status"))

@@ -444,24 +444,21 @@ FROM fx_merge_target t FULL JOIN fx_merge_source s ON t.order_id = s.order_id GR
 -- name: merge_idempotent
 SELECT CASE WHEN s.order_id IS NULL THEN 'kept' ELSE 'unchanged' END AS change, count(*) AS row_count
 FROM fx_merge_target t FULL JOIN fx_merge_source s ON t.order_id = s.order_id GROUP BY 1
--- name: run_audit
-SELECT table_name, CAST(sum(n) AS BIGINT) AS rows_read, CAST(sum(n) AS BIGINT) AS rows_inserted,
-       CAST(0 AS BIGINT) AS rows_updated, CAST(sum(n) AS BIGINT) AS rows_total,
-       count(*) FILTER (WHERE n > 1) AS duplicate_keys, 'SUCCESS' AS status
-FROM (
-  SELECT 'categories' AS table_name, count(*) AS n FROM fx_categories GROUP BY category_id
-  UNION ALL SELECT 'products', count(*) FROM fx_products GROUP BY product_id
-  UNION ALL SELECT 'customers', count(*) FROM fx_customers GROUP BY customer_id
-  UNION ALL SELECT 'suppliers', count(*) FROM fx_suppliers GROUP BY supplier_id
-  UNION ALL SELECT 'divisions', count(*) FROM fx_divisions GROUP BY division_id
-  UNION ALL SELECT 'employees', count(*) FROM fx_employees GROUP BY emp_id
-  UNION ALL SELECT 'offices', count(*) FROM fx_offices GROUP BY office
-  UNION ALL SELECT 'shippers', count(*) FROM fx_shippers GROUP BY shipper_id
-  UNION ALL SELECT 'orders', count(*) FROM fx_orders GROUP BY order_id
-  UNION ALL SELECT 'order_details', count(*) FROM fx_order_details GROUP BY order_id, line_no
-  UNION ALL SELECT 'shipments', count(*) FROM fx_shipments GROUP BY order_id, line_no
-  UNION ALL SELECT 'budget', count(*) FROM fx_budget GROUP BY office, employee_id
-) t GROUP BY table_name
+-- name: pipeline_audit
+SELECT 'orders' AS table_name, count(s.order_id) AS rows_read, count(*) FILTER (WHERE t.order_id IS NULL) AS rows_inserted,
+       count(*) FILTER (WHERE t.order_id = s.order_id AND (t.customer_id, t.amount) IS DISTINCT FROM (s.customer_id, s.amount))
+         AS rows_updated,
+       count(*) AS rows_total, CAST(0 AS BIGINT) AS duplicate_keys,
+       CASE WHEN count(s.order_id) = (SELECT count(*) FROM orders) THEN 'SUCCESS' ELSE 'WARNING' END AS status
+FROM fx_merge_target t FULL JOIN fx_merge_source s ON t.order_id = s.order_id
+UNION ALL
+SELECT 'customers', count(*), 0, 0, count(*), count(*) - count(DISTINCT customer_id),
+       CASE WHEN count(*) = (SELECT count(*) FROM customer) THEN 'SUCCESS' ELSE 'WARNING' END
+FROM fx_customers
+UNION ALL
+SELECT 'shipments', CAST(sum(n) AS BIGINT), 0, 0, count(*), count(*) FILTER (WHERE n > 1),
+       CASE WHEN sum(n) = (SELECT count(*) FROM lineitem) THEN 'SUCCESS' ELSE 'WARNING' END
+FROM (SELECT count(*) AS n FROM fx_shipments GROUP BY order_id, line_no, source_file) k
 
 -- name: dq_parse_failures
 SELECT 'order_details' AS table_name, 'quantity' AS column_name, CAST(order_id AS VARCHAR) AS record, quantity AS value

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,17 +21,18 @@ def read_csv(
     schema: StructType | str | None = None,
     encoding: str = CSV_ENCODING,
     file_glob: str | None = None,
+    quoted_breaks: bool = True,
 ) -> DataFrame:
-    """CSV with a header and quoted line breaks.
+    """CSV with a header.
 
-    Quoted line breaks stop Spark from splitting one file over tasks, so parallelism is the number of
-    files: keep exports in many files. Pass ``schema`` on large inputs to save the inference pass.
+    ``quoted_breaks`` reads line breaks inside quotes, which stops Spark from splitting one file over tasks; turn it off
+    for exports without them, so that large files split. Pass ``schema`` on large inputs to save the inference pass.
     """
     if encoding.lower() not in ("utf-8", "utf8") and spark.conf.get(_LEGACY_CHARSETS, "false") != "true":
         raise ValueError(
             f"code page {encoding} needs {_LEGACY_CHARSETS}=true: Spark 4 otherwise accepts a short list of charsets"
         )
-    reader = spark.read.option("header", True).option("multiLine", True).option("encoding", encoding)
+    reader = spark.read.option("header", True).option("multiLine", quoted_breaks).option("encoding", encoding)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
@@ -53,16 +56,41 @@ def read_source(spark: SparkSession, path: str, file_type: str, **options) -> Da
     return _READERS[file_type](spark, path, **options)
 
 
-def read_matching_csv(spark: SparkSession, directory: str, file_glob: str, **options) -> DataFrame:
-    """All files of one glob as one scan, labelled with the file each row came from.
+def _headers(spark: SparkSession, directory: str, file_glob: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a glob by their header. Files are listed without reading them; of each only the header is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).load(directory).select("path")
+    files: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(r.path for r in listed.collect()):
+        columns = spark.read.option("header", True).option("encoding", encoding).csv(path).columns
+        files.setdefault(tuple(columns), []).append(path)
+    return files
+
+
+def read_matching_csv(
+    spark: SparkSession, directory: str, file_glob: str, schema: StructType | str | None = None,
+    encoding: str = CSV_ENCODING, allow_missing: bool = False, **options,
+) -> DataFrame:
+    """All files of one glob, matched by column name and labelled with the file each row came from.
 
-    Spark itself fails with ``PATH_NOT_FOUND`` for a missing directory; a directory without a matching
-    file is reported here, because its inferred schema would otherwise be silently empty.
+    Files with the same header are one scan; scans are united by name. A file that lacks a column of another one is an
+    error unless ``allow_missing``, which fills it with NULL. A missing directory fails with ``PATH_NOT_FOUND``, one
+    without a matching file with ``FileNotFoundError``.
     """
-    df = read_csv(spark, directory, file_glob=file_glob, **options)
-    if not df.columns:
+    by_header = {header: paths for header, paths in _headers(spark, directory, file_glob, encoding).items() if header}
+    if not by_header:
         raise FileNotFoundError(f"no file matches {file_glob} in {directory}")
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    columns = list(dict.fromkeys(c for header in by_header for c in header))
+    short = {path: sorted(set(columns) - set(header)) for header, paths in by_header.items() for path in paths if set(header) != set(columns)}
+    if short and not allow_missing:
+        raise ValueError(f"columns are missing in files of {file_glob}: {short}")
+    types = {f.name: f for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema or StructType())}
+
+    def scan(header: tuple[str, ...], paths: list[str]) -> DataFrame:
+        own = StructType([types[c] for c in header]) if types else None
+        return read_csv(spark, paths, schema=own, encoding=encoding, **options).withColumn("source_file", F.col("_metadata.file_name"))
+
+    scans = [scan(header, paths) for header, paths in by_header.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), scans)
 
 
 def _file_lines(spark: SparkSession, path: str, file_glob: str | None) -> DataFrame:

@@ -76,6 +76,19 @@ def test_matching_files_are_one_labelled_scan(spark, tmp_path):
     ]
 
 
+def test_files_are_matched_by_column_name(spark, tmp_path):
+    _write(tmp_path / "Shipments01.csv", "OrderID,LineNo,ShipperID\n1,1,7\n")
+    _write(tmp_path / "Shipments02.csv", "ShipperID,OrderID,LineNo\n5,2,1\n")
+    df = read_matching_csv(spark, str(tmp_path), "Shipments*.csv", quoted_breaks=False)
+    assert rows(df.select("OrderID", "LineNo", "ShipperID", "source_file")) == [
+        (1, 1, 7, "Shipments01.csv"), (2, 1, 5, "Shipments02.csv")]
+    _write(tmp_path / "Shipments03.csv", "OrderID,LineNo,ShipperID,Extra\n3,1,2,x\n")
+    with pytest.raises(ValueError, match="Extra"):
+        read_matching_csv(spark, str(tmp_path), "Shipments*.csv")
+    df = read_matching_csv(spark, str(tmp_path), "Shipments*.csv", allow_missing=True)
+    assert rows(df.select("OrderID", "Extra")) == [(1, None), (2, None), (3, "x")]
+
+
 def test_no_matching_file_is_an_error(spark, tmp_path):
     _write(tmp_path / "Orders.csv", "OrderID\n9\n")
     with pytest.raises(Exception):  # noqa: B017 - Spark's inference error or ours, depending on the reader
