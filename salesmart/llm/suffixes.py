@@ -11,9 +11,9 @@ family, bucket by bucket, for equal beginnings; then it joins the family. Before
 so a family of n batches has at most log2(n) + 1 arrays and every entry is merged log2(n) times.
 
 Suffixes whose beginnings met are looked at with their surroundings, all the strings that chose their place. Equal surroundings are
-all repeats but for the first. The first ones of different surroundings are compared byte by byte on both sides of their common
-beginning, each with the earlier ones; beginnings with many different surroundings are compared by the hashes of whole strings, so no
-group meets in one task. Two filters of bounded size tell the tasks that read the documents which suffixes to report; what a
+all repeats but for the first. The first ones of different surroundings are compared, each with the earlier ones, by the 64-bit hashes of the strings
+they hold under their common beginning: in the task that has the beginning or, where its surroundings are too many for a
+task, string by string over all tasks. Two filters of bounded size tell the tasks that read the documents which suffixes to report; what a
 filter lets through for nothing is settled by the comparison.
 """
 
@@ -37,8 +37,8 @@ LENGTH, GRAM = 100, 32
 WINNOW = LENGTH - GRAM + 1
 #: Batches that the query cuts the table into.
 BATCHES = 4
-#: Beginnings with more suffixes than this are compared by hashes of whole strings.
-MANY = 128
+#: Beginnings with more different surroundings than this (some 400 bytes each in a task) are compared string by string over all tasks.
+MANY = 50_000
 BROADCAST_ROWS = 1_000_000
 #: The place of a NULL id in the order of documents: before all others.
 _NULL = -(1 << 63)
@@ -124,7 +124,7 @@ def _rows_with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 _NARROW = "start long, way long, key long, version long, place int, lo long, hi long"
-_AROUND = "start long, text binary, before int, key long, version long, place int, lo long, hi long"
+_AROUND = "start long, text binary, key long, version long, place int, lo long, hi long"
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -150,7 +150,7 @@ def _looked_at(met, wanted=None):
                 hit = np.flatnonzero(bloom.may_hold(wanted.value, _suffix(start, way, key, place - base)))
                 row, place, start, first, last, way, key, version, base = (x[hit] for x in (row, place, start, first, last, way, key, version, base))
                 held = data.tobytes()
-                seen = [pa.array([held[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], pa.binary()), pa.array((place - first).astype(np.int32))]
+                seen = [pa.array([held[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], pa.binary())]
             else:
                 seen = [pa.array(way)]
             yield pa.RecordBatch.from_arrays([pa.array(start), *seen, pa.array(key), pa.array(version), pa.array((place - base).astype(np.int32)), pa.array(first - base), pa.array(last - base)],
@@ -162,49 +162,35 @@ def _looked_at(met, wanted=None):
 _MARKS = "key long, version long, lo long, hi long"
 
 
-def _aligned(texts: list[bytes], before: np.ndarray) -> np.ndarray:
-    """The texts as rows, their places in one column."""
-    side = WINNOW - 1
-    out = np.zeros((len(texts), side + LENGTH), np.uint8)
-    for k, (t, b) in enumerate(zip(texts, before.tolist(), strict=True)):
-        out[k, side - b : side - b + len(t)] = np.frombuffer(t, np.uint8)
-    return out
+def _windows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, offset and hash of every string of ``LENGTH`` bytes in each text."""
+    data, at = arrays.texts(column.cast(pa.large_binary()).view(pa.large_string()))
+    n = np.diff(at) - LENGTH + 1
+    own = np.repeat(np.arange(len(n)), n)
+    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    first = at[own] + offset
+    return own, offset, arrays.span_hashes(arrays.running(data), first, first + LENGTH)
 
 
 def _compare(table: pa.Table) -> list[tuple]:
-    """Marks for whole groups of rows with equal ``start``, in order of key and place."""
-    start, key, place = (table.column(c).to_numpy() for c in ("start", "key", "place"))
-    before = table.column("before").to_numpy().astype(np.int64)
-    texts, version = table.column("text").to_pylist(), table.column("version").to_numpy()
-    length = np.array([len(t) for t in texts])
-    after = length - before  # bytes from the place on
-    around = _aligned(texts, before)
-    side = WINNOW - 1
-    least = before - (length - LENGTH)  # the place lies ``least`` to ``before`` bytes into the strings that chose it
-    open_rows = np.arange(len(start))
-    marks, lag = [], 1
-    while len(open_rows):
-        x = open_rows[open_rows >= lag]
-        y = x - lag
-        same = start[x] == start[y]
-        x, y = x[same], y[same]
-        open_rows = x
-        if not len(x):
-            break
-        earlier = (key[y] < key[x]) | (place[y] < place[x])
-        differs = around[x] != around[y]
-        left = np.where(differs[:, :side].any(axis=1), np.argmax(differs[:, :side][:, ::-1], axis=1), side)
-        right = np.where(differs[:, side:].any(axis=1), np.argmax(differs[:, side:], axis=1), LENGTH)
-        left = np.minimum(left, np.minimum(before[x], before[y]))
-        right = np.minimum(right, np.minimum(after[x], after[y]))
-        low, high = np.maximum(least[x], LENGTH - right), np.minimum(before[x], left)
-        hit = earlier & (low <= high)
-        for k, a, b in zip(x[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-            marks.append((int(key[k]), int(version[k]), int(place[k]) - b, int(place[k]) - a + LENGTH))
-        whole = hit & (low == least[x]) & (high == before[x])
-        open_rows = x[~whole]
-        lag += 1
-    return marks
+    """Marks for whole groups of rows with equal ``start``, in order of key and place: strings that an earlier row has."""
+    start, key, place, lo, version = (table.column(c).to_numpy() for c in ("start", "key", "place", "lo", "version"))
+    own, offset, hashes = _windows(table.column("text").combine_chunks())
+    name = arrays.mix(hashes ^ arrays.mix(start.view(np.uint64))[own])
+    order = np.argsort(name, kind="stable")  # equal strings stay in order of key and place
+    new = np.ones(len(order), bool)
+    new[1:] = name[order[1:]] != name[order[:-1]]
+    first = own[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = np.zeros(len(order), bool)
+    later[order] = (key[own[order]] != key[first]) | (place[own[order]] != place[first])
+    # strings of a row that follow each other are one mark
+    begins, ends = later.copy(), later.copy()
+    same = own[1:] == own[:-1]
+    begins[1:] &= ~(later[:-1] & same)
+    ends[:-1] &= ~(later[1:] & same)
+    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
+    row = own[begins]
+    return list(zip(key[row].tolist(), version[row].tolist(), (lo[row] + offset[begins]).tolist(), (lo[row] + offset[ends] + LENGTH).tolist(), strict=True))
 
 
 def _marks_of(marks: list[tuple]) -> pa.RecordBatch:
@@ -232,14 +218,9 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(0, batch.num_rows, 512):
             part = batch.slice(row, 512)
-            data, at = arrays.texts(part.column("text").cast(pa.large_binary()).view(pa.large_string()))
-            n = np.diff(at) - LENGTH + 1
-            own = np.repeat(np.arange(len(n)), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            first = at[own] + offset
-            hashes = arrays.span_hashes(arrays.running(data), first, first + LENGTH).view(np.int64)
+            own, offset, hashes = _windows(part.column("text"))
             take = pa.array(own)
-            yield pa.RecordBatch.from_arrays([part.column("start").take(take), pa.array(hashes), part.column("key").take(take), part.column("version").take(take),
+            yield pa.RecordBatch.from_arrays([part.column("start").take(take), pa.array(hashes.view(np.int64)), part.column("key").take(take), part.column("version").take(take),
                                               pa.array(part.column("lo").to_numpy()[own] + offset)], ["start", "string", "key", "version", "lo"])
 
 
