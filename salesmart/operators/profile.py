@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
@@ -42,8 +44,8 @@ def profile_nulls(df: DataFrame, source: str) -> DataFrame:
     )
 
 
-def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS) -> DataFrame:
-    """Uniqueness of every column whose name looks like a key. NULL counts as one value.
+def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS, keys: Collection[str] = ()) -> DataFrame:
+    """Uniqueness of every column whose name looks like a key or is one of ``keys``. NULL counts as one value.
 
     One grouped count per candidate: each reads its own column only, in its own type, and a frequent value is
     reduced before the shuffle.
@@ -64,7 +66,7 @@ def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_K
             )
         )
 
-    candidates = [c for c in df.columns if any(k in c.lower() for k in keywords)]
+    candidates = [c for c in df.columns if c in keys or any(k in c.lower() for k in keywords)]
     if not candidates:
         raise ValueError(f"no column of {source} contains any of {keywords}")
     return union_by_name(uniqueness(c) for c in candidates)

@@ -13,5 +13,8 @@ def oracle_sql() -> dict[str, str]:
     prefix = "WITH " + ",\n".join(
         (_ORACLE / name).read_text(encoding="utf-8").strip() for name in ("fixtures.sql", "layers.sql")
     )
-    parts = _SECTION.split((_ORACLE / "statements.sql").read_text(encoding="utf-8"))
-    return {name: f"{prefix}\n{body.strip()}" for name, body in zip(parts[1::2], parts[2::2], strict=True)}
+    found = {}
+    for file in ("statements.sql", "whole_sources.sql"):
+        parts = _SECTION.split((_ORACLE / file).read_text(encoding="utf-8"))
+        found |= {name: f"{prefix}\n{body.strip()}" for name, body in zip(parts[1::2], parts[2::2], strict=True)}
+    return found

@@ -6,6 +6,7 @@ away, so the work of each query grows with the tables. The same rules are writte
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,18 +173,18 @@ class SalesSources:
             "CAST(e % 5 + 1 AS STRING) AS office", "CAST(e AS STRING) AS employee_id", *[f"`{y}`" for y in BUDGET_YEARS]
         )
 
-    def budget_grid(self) -> DataFrame:
+    def budget_grid(self, years: Sequence[str] = BUDGET_YEARS) -> DataFrame:
         """The budget as a report sheet: title row, header row, office only on its first row, a blank tail row."""
         cells = self.budget().selectExpr(
             "'Budget' AS sheet",
             "CAST(office AS INT) * 100 + CAST(employee_id AS INT) AS row_no",
             "CASE WHEN CAST(employee_id AS INT) <= 5 THEN concat(office, '.0') END AS c0",
             "employee_id AS c1",
-            "`1997` AS c2",
+            *[f"`{year}` AS c{k}" for k, year in enumerate(years, 2)],
         )
         frame = [
             {"sheet": "Budget", "row_no": 0, "c0": "Budget"},
-            {"sheet": "Budget", "row_no": 1, "c0": "Office", "c1": "EmployeeID", "c2": "1997"},
+            {"sheet": "Budget", "row_no": 1, "c0": "Office", "c1": "EmployeeID"} | {f"c{k}": year for k, year in enumerate(years, 2)},
             {"sheet": "Budget", "row_no": 9999},
         ]
         return cells.unionByName(literal_rows(self.spark, frame, cells.schema))

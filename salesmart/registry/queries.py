@@ -16,7 +16,7 @@ from salesmart.operators.rules import parse_failures
 from salesmart.operators.unions import labeled_union, union_by_name
 from salesmart.plans import analysis, gold, loads, quality, silver
 from salesmart.plans.tables import BRONZE_KEYS, FOREIGN_KEYS, GOLD_KEYS
-from salesmart.registry.fixtures import RUN_TS, SOURCE_SYSTEM, SalesSources
+from salesmart.registry.fixtures import BUDGET_YEARS, RUN_TS, SOURCE_SYSTEM, SalesSources
 from salesmart.sources.grid import repair_budget_grid
 from salesmart.sources.members import add_members
 from salesmart.sources.tables import stringify
@@ -177,7 +177,8 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     "union_by_name": lambda s: union_by_name(_shipment_slices(s).values()),
     "shipments_labeled_union": lambda s: labeled_union(_shipment_slices(s)),
     "forward_fill": lambda s: forward_fill(s.report_grid(), "label", ["sheet"], "row_no"),
-    "budget_grid_repair": lambda s: repair_budget_grid(s.budget_grid(), ["office", "employee_id", "amount"]),
+    "budget_grid_repair": lambda s: repair_budget_grid(s.budget_grid(["1997"]), ["office", "employee_id", "amount"]),
+    "budget_sheet_repair": lambda s: repair_budget_grid(s.budget_grid(), ["office", "employee_id", *BUDGET_YEARS]),
     "stringify_columns": lambda s: stringify(s.orders()),
     "normalize_schema": _normalized_orders,
     "lineage_rename": lambda s: lineage_from_bronze(_normalized_orders(s)),
@@ -227,6 +228,10 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     "profile_shape": lambda s: union_by_name(profile.profile_shape(s.raw(n), n) for n in PROFILED),
     "profile_nulls": lambda s: union_by_name(profile.profile_nulls(s.raw(n), n) for n in PROFILED),
     "key_candidates": lambda s: union_by_name(profile.key_candidates(s.raw(n), n) for n in PROFILED),
+    "profile_shape_all": lambda s: union_by_name(profile.profile_shape(s.raw(n), n) for n in BRONZE_KEYS),
+    "profile_nulls_all": lambda s: union_by_name(profile.profile_nulls(s.raw(n), n) for n in BRONZE_KEYS),
+    "key_candidates_all": lambda s: union_by_name(
+        profile.key_candidates(s.raw(n), n, keys=keys) for n, keys in BRONZE_KEYS.items()),
     "cross_file_duplicates": lambda s: keys.duplicate_summary(_shipments(s), LINE_KEY),
     "duplicate_keys": lambda s: keys.duplicate_keys(_shipments(s), LINE_KEY),
     "duplicate_rows": lambda s: keys.duplicate_rows(_shipments(s), LINE_KEY).select(
