@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby move their score.
 
 Base kinds are proposed leftmost first and never overlap within a kind; a proposal that fails its check is dropped
-whole. Further kinds are kept if their score reaches ``LEAST_SCORE``. Every search takes time in proportion to the
+whole; an account number is searched for again from its next place. Further kinds are kept if their score reaches ``LEAST_SCORE``. Every search takes time in proportion to the
 text, also in texts that are one long run of digits or letters.
 """
 
@@ -24,9 +24,15 @@ CONTEXT = {
     "card": ("card", "visa", "credit", "karte", "tarjeta", "carte"), "phone": ("phone", "call", "tel", "fax", "mobile"),
     "iban": ("iban", "bank", "account", "konto", "cuenta", "compte"), "ssn": ("ssn", "social", "security"),
 }
-#: Lengths of account numbers by country.
-IBAN_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28,
-                "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SK": 24}
+#: Lengths of account numbers by country, as the IBAN registry lists them.
+IBAN_LENGTHS = {"AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+                "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+                "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+                "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+                "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+                "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+                "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+                "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30}
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +40,8 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = {n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}") for n in {*IBAN_LENGTHS.values()}}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _NOT_DIGITS = re.compile(r"[^0-9]")
 
@@ -82,17 +89,22 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", m.start(), m.end()
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost first; the search goes on after a confirmed number, or after the start of a proposal that fails."""
+    at = 0
+    while m := _IBAN_HEAD.search(text, at):
+        at = m.start() + 1
+        need = IBAN_LENGTHS.get(m[0][:2])
+        if need and (rest := _IBAN_REST[need].match(text, m.end())) and mod97((m[0] + rest[0]).replace(" ", "")):
+            at = rest.end()
+            yield m.start(), at
+
+
 def more_spans(text: str) -> Iterator[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return
-    for m in _IBAN.finditer(text):
-        need = IBAN_LENGTHS.get(m[0][:2], 0)
-        end, seen = m.start(), 0
-        while seen < need and end < m.end():
-            seen += text[end] != " "
-            end += 1
-        if need and seen == need and mod97(text[m.start() : end].replace(" ", "")):
-            yield "iban", m.start(), end
+    for start, end in ibans(text):
+        yield "iban", start, end
     for m in _SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

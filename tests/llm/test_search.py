@@ -109,6 +109,25 @@ def test_more_kinds_and_scores():
     assert pii.masked("to a@b.cd!", pii.find("to a@b.cd!")) == "to <email>!"
 
 
+DE, GB = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+
+
+@pytest.mark.parametrize("text, found", [
+    (f"{DE} {GB}", [DE, GB]), (f"{DE} {DE} {GB}", [DE, DE, GB]), (f"AB12 {DE}", [DE]), (f"GB82 {DE}", [DE]), (f"DE00 1234 {GB} {DE}", [GB, DE]),
+    (f"{DE} 1234", [DE]), (DE.replace(" ", "") + " " + GB.replace(" ", ""), [DE.replace(" ", ""), GB.replace(" ", "")]), (f"x{DE}", []), (DE[:-1] + "1", []),
+])
+def test_adjacent_and_prefixed_account_numbers(text, found):
+    assert [text[s["start"] : s["end"]] for s in pii.find(text) if s["kind"] == "iban"] == found
+
+
+# examples of the IBAN registry
+@pytest.mark.parametrize("text", [
+    "BG80BNBG96611020345678", "HR1210010051863000160", "CY17002001280000001200527600", "EE382200221020145685", "LV80BANK0000435195001", "LT121000011101001000",
+    "MT84MALT011000012345MTLCAST001S", "SI56263300012039086", "IS140159260076545510730339", "TR330006100519786457841326", "SA0380000000608010167519", "AE070331234567890123456", "NO9386011117947"])
+def test_account_numbers_of_other_countries(text):
+    assert [(s["kind"], s["start"], s["end"]) for s in pii.find(f"to {text}.") if not s["base"]] == [("iban", 3, 3 + len(text))]
+
+
 def test_pii_rows(frame):
     docs = frame([(1, None, 0), (2, "", 0), (None, "é a@b.cd", 0), (3, "a@b.cd", 1), (3, "a@b.cd", 1), (4, "y " * 200_000 + "a@b.cd", 0)], "doc_id long, text string, pii int")
     found = [(i, [(s.kind, s.start, s.end) for s in spans]) for i, spans in collected(pii.find_pii(docs))]
