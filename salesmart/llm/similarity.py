@@ -24,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.llm import arrays
 from salesmart.llm.components import components
-from salesmart.llm.storage import written
+from salesmart.llm.storage import unused, written
 from salesmart.operators.joins import splittable_join
 
 WORDS = 5
@@ -408,6 +409,13 @@ def jaccard_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     if they repeat an id. NULL ids come back as they are; a group of NULL ids alone has a NULL ``component_id``. Other
     columns are not read.
     """
+    named = _named_groups(docs, id_column, text_column, frequent, cell)
+    return named.select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _named_groups(docs: DataFrame, id_column: str, text_column: str, frequent: int, cell: int) -> DataFrame:
+    """Per row of ``docs``: ``id``, ``node`` of its set, ``n`` shingles, the node that names its ``component`` and the ``smallest`` id of that."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("body"))
     kind = dict(base.dtypes)["id"]
@@ -441,11 +449,10 @@ def jaccard_groups(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     more = partners.join(texts, "node").repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_by_cell(_links_of_cells), "a long, b long")
     groups = components(links.unionByName(more))
 
-    named = splittable_join(sets, groups, ["node"], "left").select("id", "n", F.coalesce("component", "node").alias("component"))
+    named = splittable_join(sets, groups, ["node"], "left").select("id", "node", "n", F.coalesce("component", "node").alias("component"))
     named = written(named, "named")
     smallest = named.where("n > 0").groupBy("component").agg(F.min("id").alias("smallest"))
-    return splittable_join(named, smallest, ["component"], "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("id")).alias("component_id"))
+    return splittable_join(named, smallest, ["component"], "left")
 
 
 def _of_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -495,8 +502,39 @@ def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell
     return written(cell_rows.mapInArrow(_by_cell(_with_partners), schema), "partners")
 
 
+def _add_node(frame: DataFrame, text_column: str, name: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, at in arrays.slices(batches, text_column):
+            yield rows.append_column(name, pa.array([node_of(s) for s in shingle_sets(data, at)], pa.int64()))
+
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows whose id names their group: one document of each. Rows without an id or without shingles all stay."""
-    groups = jaccard_groups(docs, id_column=id_column, text_column=text_column)
-    gone = groups.where(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
-    return docs.join(gone, id_column, "left_anti").select(docs.columns)
+    """The rows whose id names their group: one document of each. Rows without shingles all stay.
+
+    Each row is judged by its own text: an id may come with a near copy, which goes, and with another text, which stays.
+    Of a group of NULL ids alone one row of its smallest node stays; NULL ids all stay in a group that an id names.
+    """
+    rows = written(_named_groups(docs, id_column, text_column, FREQUENT, CELL), "judged")
+    goes = (F.col("n") > 0) & (F.col("id") != F.col("smallest"))
+    ids = rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(goes).alias("some"), F.min(goes).alias("all"))
+    ids = written(ids.where("some").select(F.col("id").alias(id_column), "all"), "gone")
+    kept = docs.join(ids.where("all").select(id_column), id_column, "left_anti").select(docs.columns)
+    node = unused(docs, "node")
+
+    mixed = ids.where("not all").select(id_column)
+    if not mixed.isEmpty():
+        gone = rows.where(goes).select(F.col("id").alias(id_column), F.col("node").alias(node)).distinct()
+        own = _add_node(docs.join(mixed, id_column, "left_semi").select(docs.columns), text_column, node)
+        own = own.join(gone, [id_column, node], "left_anti").select(docs.columns)
+        kept = kept.join(mixed, id_column, "left_anti").select(docs.columns).unionByName(own)
+
+    unnamed = rows.where(F.col("id").isNull() & F.col("smallest").isNull() & (F.col("n") > 0)).groupBy("component").agg(F.min("node").alias("least"), F.count("*").alias("m")).where("m > 1")
+    if not unnamed.isEmpty():
+        members = rows.where(F.col("id").isNull()).select("node", "component").distinct().join(unnamed, "component")
+        members = members.select(F.col("node").alias(node), (F.col("node") == F.col("least")).alias(first := unused(docs, "first")))
+        own = splittable_join(_add_node(docs.where(F.col(id_column).isNull()), text_column, node), members, [node], "left")
+        one = own.where(F.col(first)).dropDuplicates([node])
+        kept = kept.where(F.col(id_column).isNotNull()).unionByName(own.where(F.col(first).isNull()).unionByName(one).select(docs.columns))
+    return kept

@@ -94,6 +94,15 @@ def test_one_of_each_group_stays(frame):
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(r[0]) for r in rows if r[0] not in gone)
 
 
+def test_rows_of_an_id_are_judged_one_by_one(frame):
+    copied, alone, third = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(1, copied, 0), (2, copied, 1), (2, alone, 2), (2, "", 3), (3, copied, 4), (4, None, 5),
+            (None, copied, 6), (None, third, 7), (None, third + " x", 8), (None, third, 9), (None, None, 10), (None, "", 11)]
+    kept = [r.node for r in similarity.keep_one(frame(rows, "doc_id long, text string, node int")).collect()]
+    assert sorted(set(kept) - {7, 8, 9}) == [0, 2, 3, 5, 6, 10, 11]
+    assert len(kept) == 8
+
+
 def test_components_of_a_long_chain_and_a_star(frame):
     links = [(k, k + 1) for k in range(0, 60)] + [(1000, k) for k in range(1001, 1100)] + [(7, 7), (3, 2)]
     found = dict(collected(components(frame(links, "a long, b long"))))
