@@ -37,7 +37,7 @@ LENGTH, GRAM = 100, 32
 WINNOW = LENGTH - GRAM + 1
 #: Batches that the query cuts the table into.
 BATCHES = 4
-#: Beginnings with more different surroundings than this (some 400 bytes each in a task) are compared string by string over all tasks.
+#: Beginnings with more different surroundings than this (up to LENGTH - GRAM + 1 strings each, at some 60 bytes in a task) are compared string by string over all tasks.
 MANY = 50_000
 BROADCAST_ROWS = 1_000_000
 #: The place of a NULL id in the order of documents: before all others.
