@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import chat, decontamination, exact, language, packing, pii, quality, similarity, suffixes, urls
+from salesmart.llm import chat, decontamination, exact, language, licenses, packing, pii, quality, resampling, similarity, suffixes, urls, whitening
 from salesmart.llm.fixed import table, tokenizer_path
 from salesmart.llm.shipping import ship
 
@@ -80,6 +80,20 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(pairs, "conv_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}).drop("matches")
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +105,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: shipped(f) for f in (
-        op1_packing, op2_suffix_dedup, op3_language_id, op4_decontamination, op5_exact_dedup, op6_jaccard_join, op7_pii, op8_url_filter, op9_quality, op10_preferences)}
+        op1_packing, op2_suffix_dedup, op3_language_id, op4_decontamination, op5_exact_dedup, op6_jaccard_join, op7_pii, op8_url_filter, op9_quality, op10_preferences,
+        op11_whitening, op12_resampling, op13_license_scan)}

@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = [n.split("_")[0] for n in queries.queries()]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(entry_points.queries())
 
 
@@ -86,7 +86,7 @@ def test_exact_dedup_equals_sql_on_odd_rows(spark, tmp_path):
 
 def test_empty_tables(spark, tmp_path):
     folder(spark, tmp_path, documents=([], "doc_id long, text string, lang string"), pages=([], "page_id long, url string, html string"), labels=([], "doc_id long, quality int"),
-           benchmark=([], "item_id long, text string"), conversations=([], "conv_id long, turn long, role string, text string"))
+           benchmark=([], "item_id long, text string"), embeddings=([], "vec_id long, embedding array<float>"), conversations=([], "conv_id long, turn long, role string, text string"))
     for name, query in queries.queries().items():
         assert query(spark, str(tmp_path)).count() == 0, name
     assert collected(entry_points.queries()["pipeline"](spark, str(tmp_path))) == []
