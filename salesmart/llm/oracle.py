@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 OP5 = r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t, length(coalesce(text, '')) AS n FROM documents
@@ -95,6 +97,52 @@ FROM k CROSS JOIN (VALUES ('chosen'), ('rejected')) AS s(side)
 LEFT JOIN prompts p ON p.conv_id = k.conv_id LEFT JOIN rest ON rest.conv_id = k.conv_id AND rest.side = s.side
 """
 
+#: The CRC-32 sums of the bytes 1, 2, 4 ... 128 without the usual complements; those of other bytes are combinations.
+BIT_SUMS = (1996959894, 3993919788, 124634137, 249268274, 498536548, 997073096, 1994146192, 3988292384)
+
+
+def crc32(text: str) -> str:
+    """SQL for the CRC-32 of the UTF-8 bytes of a text column: a fold over its bytes."""
+    step = functools.reduce(lambda a, b: f"xor({a}, {b})", [f"((xor(c, b) >> {k}) & 1) * {v}" for k, v in enumerate(BIT_SUMS)])
+    listed = f"list_transform(range(0, octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {listed}), lambda c, b: xor(c >> 8, {step})), 4294967295)"
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS l FROM documents
+), w AS (
+  SELECT true AS raw, r, l FROM d UNION ALL SELECT false, 0, {_WORDS} FROM benchmark
+), g AS (
+  SELECT raw, r, unnest(list_concat(list_concat(l, list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1])),
+    list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2]))) AS g FROM w
+), n AS (
+  SELECT raw, r, g, count(*) AS n FROM g GROUP BY raw, r, g
+), b AS (
+  SELECT g, {crc32('g')} % 10000 AS bucket FROM (SELECT DISTINCT g FROM n)
+), f AS (
+  SELECT raw, r, bucket, sum(n) AS n FROM n JOIN b USING (g) GROUP BY raw, r, bucket
+), c AS (
+  SELECT bucket, CAST(coalesce(sum(n) FILTER (raw), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (NOT raw), 0) AS DOUBLE) AS t FROM f GROUP BY bucket
+), a AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM c
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain FROM c, a
+), weighed AS (
+  SELECT r, sum(n) AS n_features, sum(n * gain) AS weight FROM f JOIN gains USING (bucket) WHERE raw GROUP BY r
+), scored AS (
+  SELECT doc_id, len(l) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weighed USING (r)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) FILTER (n_words >= 20) OVER () AS able FROM scored
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * able // 100 THEN place END AS rank FROM ranked
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op8_url_filter": OP8, "op10_preferences": OP10}
+    return {"op5_exact_dedup": OP5, "op8_url_filter": OP8, "op10_preferences": OP10, "op12_resampling": OP12}
