@@ -19,6 +19,16 @@ QUANTITY, PRICE, DISCOUNT = "decimal(11,3)", "decimal(12,4)", "decimal(9,4)"
 LINE_TYPES = {"quantity": QUANTITY, "unit_price": PRICE, "discount": DISCOUNT}
 
 
+# Wide enough to show whether a narrower type drops digits.
+_WIDEST = "decimal(38,18)"
+
+
+def exactly(column: str, kind: str) -> Column:
+    """The column as a decimal type, NULL where that would drop digits as well as where there is no number."""
+    narrow = F.col(column).try_cast(kind)
+    return F.when(F.col(column).try_cast(_WIDEST) == narrow, narrow)
+
+
 def as_int(column: str) -> Column:
     """64-bit integer out of text that may carry a spreadsheet's trailing ``.0``."""
     return F.col(column).try_cast("decimal(28,6)").try_cast("bigint")

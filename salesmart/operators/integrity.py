@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from salesmart.operators.unions import union_by_name
 
@@ -19,41 +18,65 @@ class ForeignKey:
     pk: str
 
 
-def _comparable(child: DataFrame, parent: DataFrame, link: ForeignKey) -> tuple[Column, Column]:
-    """Both key columns in one type: whole numbers as numbers, anything else as trimmed text (``1`` meets ``"1"``)."""
-    kinds = (child.schema[link.fk].dataType, parent.schema[link.pk].dataType)
-    if all(isinstance(kind, IntegralType) for kind in kinds):
-        return F.col(link.fk).cast("bigint"), F.col(link.pk).cast("bigint")
-    return F.trim(F.col(link.fk).cast("string")), F.trim(F.col(link.pk).cast("string"))
+#: Links that one mask has room for; bit 0 of a mask stands for the parent.
+MOST_LINKS = 62
 
 
-def _presence(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
-    fk, pk = _comparable(child, parent, link)
-    used = child.select(fk.alias("key"), F.lit(True).alias("in_child"), F.lit(False).alias("in_parent"))
-    given = parent.select(pk.alias("key"), F.lit(False).alias("in_child"), F.lit(True).alias("in_parent"))
-    return (
-        used.unionByName(given)
-        .where(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.max("in_child").alias("in_child"), F.max("in_parent").alias("in_parent"))
-        .select(
-            F.lit(link.child).alias("child"),
-            F.lit(link.fk).alias("fk"),
-            F.lit(link.parent).alias("parent"),
-            F.col("key").cast("string").alias("key_value"),
-            "in_child",
-            "in_parent",
-        )
-    )
+def _comparable(column: str) -> Column:
+    """A key as trimmed text, so that ``1`` meets ``"1"``; whole numbers of any width have one text."""
+    return F.trim(F.col(f"`{column}`").cast("string"))
 
 
-def key_presence(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
-    """One row per link and key value, saying on which side the value occurs.
+def _roles(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
+    """A row per parent key column and value, with the roles the value occurs in: bit 0 where the parent has it, bit ``k`` where
+    the child of the ``k``-th link of that parent uses it.
 
-    The two sides of a link meet in one grouped aggregation instead of two distincts and a join. Values are
-    reduced where they are read, so a value held by most rows costs one row per task.
+    Each table is read once, whatever number of links it takes part in: a row gives one (parent, value, bit) per role of its
+    columns. The bits of a value are combined where it is read, so a value held by most rows costs one row per task.
     """
-    return union_by_name(_presence(tables[link.child], tables[link.parent], link) for link in links)
+    by_parent: dict[tuple[str, str], list[ForeignKey]] = {}
+    for link in links:
+        by_parent.setdefault((link.parent, link.pk), []).append(link)
+    roles: dict[str, list[Column]] = {}
+
+    def role(table: str, column: str, parent: tuple[str, str], bit: int) -> None:
+        roles.setdefault(table, []).append(F.struct(
+            F.lit(".".join(parent)).alias("parent_key"), _comparable(column).alias("key"), F.lit(1 << bit).cast("long").alias("mask")))
+
+    for parent, children in by_parent.items():
+        if len(children) > MOST_LINKS:
+            raise ValueError(f"more than {MOST_LINKS} links to {'.'.join(parent)}")
+        role(*parent, parent, 0)
+        for bit, link in enumerate(children, 1):
+            role(link.child, link.fk, parent, bit)
+    held = union_by_name(tables[name].select(F.explode(F.array(*own)).alias("held")).select("held.*") for name, own in roles.items())
+    return held.where(F.col("key").isNotNull()).groupBy("parent_key", "key").agg(F.bit_or("mask").alias("mask"))
+
+
+def _numbered(links: list[ForeignKey]) -> list[tuple[ForeignKey, int]]:
+    """Each link with its bit among the links of its parent."""
+    seen: dict[tuple[str, str], int] = {}
+    out = []
+    for link in links:
+        seen[link.parent, link.pk] = bit = seen.get((link.parent, link.pk), 0) + 1
+        out.append((link, bit))
+    return out
+
+
+def _has(bit: int) -> Column:
+    return F.col("mask").bitwiseAND(F.lit(1 << bit).cast("long")) != 0
+
+
+def key_presence(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
+    """One row per link and key value, saying on which side the value occurs."""
+    sides = [
+        F.when((F.col("parent_key") == f"{link.parent}.{link.pk}") & (_has(bit) | _has(0)), F.struct(
+            F.lit(link.child).alias("child"), F.lit(link.fk).alias("fk"), F.lit(link.parent).alias("parent"),
+            _has(bit).alias("in_child"), _has(0).alias("in_parent")))
+        for link, bit in _numbered(links)
+    ]
+    found = _roles(tables, links).select(F.col("key").alias("key_value"), F.explode(F.array_compact(F.array(*sides))).alias("side"))
+    return found.select("side.child", "side.fk", "side.parent", "key_value", "side.in_child", "side.in_parent")
 
 
 def orphans(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
@@ -64,7 +87,7 @@ def orphans(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
 
 
 def integrity_counts(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
-    """Distinct values on either side and orphans, per link."""
+    """Distinct values on either side and orphans, per link. The values become a few numbers per task before they travel on."""
     return (
         key_presence(tables, links)
         .groupBy("child", "fk", "parent")

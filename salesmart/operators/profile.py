@@ -1,4 +1,4 @@
-"""Column profiles of raw sources, one pass per source."""
+"""Column profiles of raw sources, one scan per source."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from salesmart.functions.values import percent
-from salesmart.operators.unions import union_by_name
 
+# Parts of a column name that make it look like a key.
 KEY_KEYWORDS = ("id", "code", "number", "key")
 
 
@@ -20,6 +20,10 @@ def _empty(field: StructField) -> Column:
     return column.isNull() | (column == "") if isinstance(field.dataType, StringType) else column.isNull()
 
 
+def _looks_like_key(column: str, keywords: tuple[str, ...], keys: Collection[str]) -> bool:
+    return column in keys or any(k in column.lower() for k in keywords)
+
+
 def profile_shape(df: DataFrame, source: str) -> DataFrame:
     return df.agg(
         F.lit(source).alias("source"),
@@ -44,29 +48,62 @@ def profile_nulls(df: DataFrame, source: str) -> DataFrame:
     )
 
 
+def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """How often each value of each of the columns stands there: each row becomes one (column, value) per column, and those are
+    counted where they are read, so a value shared by many rows travels once per task. Values are compared as text."""
+    held = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+    pairs = df.select(F.explode(F.array(*held)).alias("held")).select("held.*")
+    return pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+
+
 def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS, keys: Collection[str] = ()) -> DataFrame:
     """Uniqueness of every column whose name looks like a key or is one of ``keys``. NULL counts as one value.
 
-    One grouped count per candidate: each reads its own column only, in its own type, and a frequent value is
-    reduced before the shuffle.
+    All candidates of a source come from one scan and one grouped count. A source without rows has candidates without values.
     """
-
-    def uniqueness(column: str) -> DataFrame:
-        total, distinct = F.col("total_rows"), F.col("distinct_count")
-        return (
-            df.groupBy(F.col(f"`{column}`")).agg(F.count("*").alias("n"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("*").alias("distinct_count"))
-            .select(
-                F.lit(source).alias("source"),
-                F.lit(column).alias("column_name"),
-                total,
-                distinct,
-                (total - distinct).alias("duplicates"),
-                (total == distinct).alias("is_key"),
-            )
-        )
-
-    candidates = [c for c in df.columns if c in keys or any(k in c.lower() for k in keywords)]
+    candidates = [c for c in df.columns if _looks_like_key(c, keywords, keys)]
     if not candidates:
         raise ValueError(f"no column of {source} contains any of {keywords}")
-    return union_by_name(uniqueness(c) for c in candidates)
+    per_column = _value_counts(df, candidates).groupBy("column_name").agg(F.sum("n").alias("total_rows"), F.count("*").alias("distinct_count"))
+    named = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, candidates))).alias("column_name"))
+    total, distinct = F.coalesce("total_rows", F.lit(0)), F.coalesce("distinct_count", F.lit(0))
+    return named.join(per_column, "column_name", "left").select(
+        F.lit(source).alias("source"),
+        "column_name",
+        total.alias("total_rows"),
+        distinct.alias("distinct_count"),
+        (total - distinct).alias("duplicates"),
+        (total == distinct).alias("is_key"),
+    )
+
+
+def column_profile(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS, keys: Collection[str] = ()) -> DataFrame:
+    """Shape, empty values and key candidates of a source in one scan: a row per column.
+
+    Each row becomes one (column, empty or not, value) per column; only candidates carry their value, so any other column
+    is two numbers per task. ``distinct_count`` and ``is_key`` are NULL for columns that are no candidates. A source without rows gives its columns with zeros.
+    """
+    held = [
+        F.struct(
+            F.lit(f.name).alias("column_name"), _empty(f).alias("is_empty"),
+            (F.col(f"`{f.name}`").cast("string") if _looks_like_key(f.name, keywords, keys) else F.lit(None).cast("string")).alias("value"))
+        for f in df.schema.fields
+    ]
+    pairs = df.select(F.explode(F.array(*held)).alias("held")).select("held.*")
+    counts = pairs.groupBy("column_name", "is_empty", "value").agg(F.count("*").alias("n"))
+    per_column = counts.groupBy("column_name").agg(
+        F.sum("n").alias("row_count"), F.sum(F.when(F.col("is_empty"), F.col("n"))).alias("null_count"), F.count("*").alias("distinct_count"))
+    candidate = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(_looks_like_key(c, keywords, keys)).alias("candidate")) for c in df.columns])
+    named = df.sparkSession.range(1).select(F.inline(candidate))
+    rows, empty = F.coalesce("row_count", F.lit(0)), F.coalesce("null_count", F.lit(0))
+    distinct = F.when(F.col("candidate"), F.coalesce("distinct_count", F.lit(0)))
+    return named.join(per_column, "column_name", "left").select(
+        F.lit(source).alias("source"),
+        "column_name",
+        F.lit(len(df.columns)).cast("long").alias("column_count"),
+        rows.alias("row_count"),
+        empty.alias("null_count"),
+        percent(empty, rows).alias("null_pct"),
+        distinct.alias("distinct_count"),
+        (distinct == rows).alias("is_key"),
+    )

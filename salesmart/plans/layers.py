@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.audit import normalize_schema
 from salesmart.plans import gold, silver
 from salesmart.plans.loads import LoadSpec
-from salesmart.plans.tables import BRONZE_KEYS, BRONZE_ROW_KEYS, GOLD_KEYS, SILVER_KEYS
+from salesmart.plans.tables import BRONZE_KEYS, BRONZE_ROW_KEYS, BY_ORDER, GOLD_KEYS, MOST_LINES, ORDER_BUCKET, SILVER_KEYS
 from salesmart.sources.files import (
     count_csv_records,
     count_xml_records,
@@ -23,7 +23,7 @@ from salesmart.sources.files import (
     read_source,
 )
 from salesmart.sources.grid import header_names, promote_header, repair_budget_grid
-from salesmart.sources.tables import stringify
+from salesmart.sources.tables import key_summary, stringify
 
 
 @dataclass(frozen=True)
@@ -98,6 +98,7 @@ def bronze_specs(sources: list[Source], database: str, run_ts: datetime, source_
             source.label,
             source.expected_rows,
             check_keys=keys,
+            bucket=ORDER_BUCKET if keys[0] == "order_id" else None,
         )
 
     return [spec(source) for source in sources]
@@ -111,36 +112,40 @@ def silver_specs(spark: SparkSession, bronze: str, database: str, run_ts: dateti
     def spec(table: str) -> LoadSpec:
         source, build = silver.BUILDERS[table]
         origin = f"{bronze}.bronze_{source}"
+        by_order = SILVER_KEYS[table][0] == "order_id"
         return LoadSpec(
-            f"{database}.{table}", lambda: _stamped(build(spark.table(origin)), run_ts), SILVER_KEYS[table], origin
+            f"{database}.{table}", lambda: _stamped(build(spark.table(origin)), run_ts), SILVER_KEYS[table], origin,
+            bucket=ORDER_BUCKET if by_order else None, clustering=BY_ORDER if by_order else None, inputs=(origin,),
         )
 
     return [spec(table) for table in silver.BUILDERS]
 
 
 def gold_specs(spark: SparkSession, silver_db: str, database: str, run_ts: datetime) -> list[LoadSpec]:
-    """Dimensions before the sales fact, which takes product costs from the stored dimension."""
+    """The star schema; each table names the tables it is built from. The sales fact takes product costs from the stored dimension."""
 
     def s(name: str) -> DataFrame:
         return spark.table(f"{silver_db}.{name}")
 
-    builders: dict[str, tuple[str, Callable[[], DataFrame]]] = {
-        "dim_date": ("generated", lambda: gold.dim_date(s("fact_orders"))),
-        "dim_customer": ("dim_customer+dim_division", lambda: gold.dim_customer(s("dim_customer"), s("dim_division"))),
-        "dim_product": ("dim_product+dim_category", lambda: gold.dim_product(s("dim_product"), s("dim_category"))),
-        "dim_employee": ("dim_employee+dim_office", lambda: gold.dim_employee(s("dim_employee"), s("dim_office"))),
-        "dim_supplier": ("dim_supplier", lambda: gold.passthrough(s("dim_supplier"))),
-        "dim_shipper": ("dim_shipper", lambda: gold.passthrough(s("dim_shipper"))),
-        "dim_division": ("dim_division", lambda: gold.passthrough(s("dim_division"))),
-        "fact_sales": (
-            "fact_order_details+fact_orders+fact_shipments+gold.dim_product",
-            lambda: gold.fact_sales(
-                s("fact_order_details"), s("fact_orders"), s("fact_shipments"), spark.table(f"{database}.dim_product")
-            ),
-        ),
-        "fact_budget": ("fact_budget", lambda: gold.passthrough(s("fact_budget"))),
+    def few_lines() -> bool:
+        """Whether no order has so many lines that its rows should not meet in one place."""
+        return all(key_summary(spark, f"{silver_db}.{name}").most_together <= MOST_LINES for name in ("fact_order_details", "fact_shipments"))
+
+    builders: dict[str, tuple[list[str], Callable[[], DataFrame]]] = {
+        "dim_date": (["fact_orders", "fact_shipments", "fact_budget"], lambda: gold.dim_date(s("fact_orders"), s("fact_shipments"), s("fact_budget"))),
+        "dim_customer": (["dim_customer", "dim_division"], lambda: gold.dim_customer(s("dim_customer"), s("dim_division"))),
+        "dim_product": (["dim_product", "dim_category"], lambda: gold.dim_product(s("dim_product"), s("dim_category"))),
+        "dim_employee": (["dim_employee", "dim_office"], lambda: gold.dim_employee(s("dim_employee"), s("dim_office"))),
+        "fact_sales": (["fact_order_details", "fact_orders", "fact_shipments", f"{database}.dim_product"], lambda: gold.fact_sales(
+            s("fact_order_details"), s("fact_orders"), s("fact_shipments"), spark.table(f"{database}.dim_product"), by_order=few_lines())),
+        **{name: ([name], lambda name=name: gold.passthrough(s(name))) for name in ("dim_supplier", "dim_shipper", "dim_division", "fact_budget")},
     }
-    return [
-        LoadSpec(f"{database}.{name}", lambda build=build: _stamped(build(), run_ts), GOLD_KEYS[name], origin)
-        for name, (origin, build) in builders.items()
-    ]
+
+    def spec(name: str, origins: list[str], build: Callable[[], DataFrame]) -> LoadSpec:
+        by_order = GOLD_KEYS[name][0] == "order_id"
+        return LoadSpec(
+            f"{database}.{name}", lambda: _stamped(build(), run_ts), GOLD_KEYS[name], "+".join(origins),
+            bucket=ORDER_BUCKET if by_order else None, clustering=BY_ORDER if by_order else None,
+            inputs=tuple(o if "." in o else f"{silver_db}.{o}" for o in origins))
+
+    return [spec(name, *builder) for name, builder in builders.items()]

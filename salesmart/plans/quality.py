@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.values import extended_amount, line_cost, raw_margin
+from salesmart.operators.joins import splittable_join
 from salesmart.operators.keys import validate_key
 from salesmart.operators.rules import (
     ERROR,
@@ -30,12 +31,14 @@ def _share_pct(part, whole):
 
 
 def dq_orders(orders: DataFrame, customers: DataFrame, employees: DataFrame, shippers: DataFrame) -> DataFrame:
-    """All order rules from one scan of the orders, each next to the distinct keys of its parents."""
+    """All order rules from one scan of the orders, each next to the distinct keys of its parents. A customer, employee or shipper with a
+    large share of all orders (or NULL) is split over tasks."""
     rules = [RowRule("MISSING_ORDER_DATE", ERROR, F.col("order_date").isNull(), F.lit("order_date is NULL"))]
     joined = orders
     for fk, parent, pk, what in (("customer_id", customers, "customer_id", "customer"), ("employee_id", employees, "emp_id", "employee"), ("shipper_id", shippers, "shipper_id", "shipper")):
         known = f"known_{what}"
-        joined = joined.join(parent.select(F.col(pk).alias(known)).distinct(), F.col(fk) == F.col(known), "left")
+        keys = parent.select(F.col(pk).try_cast(orders.schema[fk].dataType).alias(fk)).distinct().withColumn(known, F.lit(True))
+        joined = splittable_join(joined, keys, [fk], "left")
         rules.append(RowRule(
             f"ORPHAN_{fk.upper()}", ERROR, F.col(fk).isNotNull() & F.col(known).isNull(), text(f"{fk} ", F.col(fk), f" not found in gold.dim_{what}")))
     return row_violations(joined, rules)

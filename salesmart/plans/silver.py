@@ -13,6 +13,7 @@ from salesmart.functions.values import (
     NO_STATE_LABEL,
     UNKNOWN_KEY,
     as_int,
+    exactly,
     foreign_key_or_unknown,
     null_to,
     parse_date,
@@ -81,7 +82,8 @@ def orders(bronze: DataFrame) -> DataFrame:
 
 
 def order_lines(bronze: DataFrame) -> DataFrame:
-    """Typed once here: what cannot be read becomes NULL and a row of the parse-failure rule."""
+    """Typed once here: what cannot be read becomes NULL, what has more digits than its type is rounded, and both become a row of the
+    parse-failure rule."""
     return lineage_from_bronze(bronze).withColumns({c: F.col(c).try_cast(t) for c, t in LINE_TYPES.items()})
 
 
@@ -146,6 +148,6 @@ def parsed_columns() -> dict[str, tuple[str, dict]]:
         "offices": ("office", {"office": as_int("office")}),
         "customers": ("customer_id", {"birth_date": parse_date("birth_date")}),
         "orders": ("order_id", {"order_date": parse_date("order_date"), "employee_id": as_int("employee_id")}),
-        "order_details": ("order_id", {c: F.col(c).try_cast(t) for c, t in LINE_TYPES.items()}),
+        "order_details": ("order_id", {c: exactly(c, t) for c, t in LINE_TYPES.items()}),
         "shipments": ("order_id", {"shipment_date": parse_date("shipment_date")}),
     }

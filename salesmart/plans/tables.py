@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from salesmart.operators.integrity import ForeignKey
+from salesmart.sources.tables import Clustering
 
 # Table names and keys are the contract between the layers.
 BRONZE_KEYS = {
@@ -65,3 +66,10 @@ FOREIGN_KEYS = [
     ForeignKey("customers", "division_id", "divisions", "division_id"),
     ForeignKey("employees", "office", "offices", "office"),
 ]
+
+# Tables by order are stored in partitions of so many order numbers, so that a load replaces what it touches, and are dealt to files
+# by the order, so that they join without a shuffle.
+ORDER_BUCKET = "try_cast(order_id AS BIGINT) DIV 10000000"
+BY_ORDER = Clustering(("order_id",), 32)
+# Orders of more lines than this are not joined by the order alone.
+MOST_LINES = 1000

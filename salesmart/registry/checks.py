@@ -6,7 +6,7 @@ import re
 from pathlib import Path
 
 _ORACLE = Path(__file__).parent / "oracle"
-_SECTION = re.compile(r"^-- name: (\w+)\s*$", re.MULTILINE)
+_SECTION = re.compile(r"^-- name: (\w+(?: \w+)*)\s*$", re.MULTILINE)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -16,5 +16,5 @@ def oracle_sql() -> dict[str, str]:
     found = {}
     for file in ("statements.sql", "whole_sources.sql"):
         parts = _SECTION.split((_ORACLE / file).read_text(encoding="utf-8"))
-        found |= {name: f"{prefix}\n{body.strip()}" for name, body in zip(parts[1::2], parts[2::2], strict=True)}
+        found |= {name: f"{prefix}\n{body.strip()}" for names, body in zip(parts[1::2], parts[2::2], strict=True) for name in names.split()}
     return found

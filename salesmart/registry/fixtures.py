@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamp
+from salesmart.functions.values import extended_amount
 from salesmart.plans import gold, silver
 from salesmart.sources.members import literal_rows
 
@@ -240,7 +241,7 @@ class SalesSources:
     def gold(self, name: str) -> DataFrame:
         s = self.silver
         return {
-            "dim_date": lambda: gold.dim_date(self.fact("fact_orders")),
+            "dim_date": lambda: gold.dim_date(*map(self.fact, ("fact_orders", "fact_shipments", "fact_budget"))),
             "dim_customer": lambda: gold.dim_customer(s("dim_customer"), s("dim_division")),
             "dim_product": lambda: gold.dim_product(s("dim_product"), s("dim_category")),
             "dim_employee": lambda: gold.dim_employee(s("dim_employee"), s("dim_office")),
@@ -258,8 +259,9 @@ class SalesSources:
         return gold.with_measures(self.fact("fact_order_details"), self.fact("dim_product"))
 
     def shipped_lines(self) -> DataFrame:
-        """The part of the sales fact that shipper reports read."""
-        return gold.with_shipment(self.measured_lines(), self.fact("fact_shipments"))
+        """The part of the sales fact that shipper reports read: no product, as neither amount nor shipper needs one."""
+        lines = self.fact("fact_order_details").withColumn("extended_amount", extended_amount())
+        return gold.with_shipment(lines, self.fact("fact_shipments"))
 
     def dated_lines(self) -> DataFrame:
         """The part of the sales fact that employee and calendar reports read."""

@@ -113,14 +113,6 @@ fx_budget AS (
                CAST(o_totalprice AS DECIMAL(18,2)) AS p FROM orders) t
   GROUP BY e
 ),
-fx_budget_grid AS (
-  SELECT 'Budget' AS sheet, CAST(office AS INTEGER) * 100 + CAST(employee_id AS INTEGER) AS row_no,
-         CASE WHEN CAST(employee_id AS INTEGER) <= 5 THEN office || '.0' END AS c0, employee_id AS c1, "1997" AS c2
-  FROM fx_budget
-  UNION ALL SELECT 'Budget', 0, 'Budget', NULL, NULL
-  UNION ALL SELECT 'Budget', 1, 'Office', 'EmployeeID', '1997'
-  UNION ALL SELECT 'Budget', 9999, NULL, NULL, NULL
-),
 fx_report_grid AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) AS sheet, o_orderkey AS row_no,
          CASE WHEN o_orderkey % 7 = 0 THEN 'Customer ' || CAST(o_custkey AS VARCHAR) END AS label,

@@ -59,7 +59,9 @@ silver_budget AS (
 gold_dates AS (
   SELECT CAST(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 1 YEAR
                                      - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS full_date
-  FROM (SELECT min(order_date) AS lo, max(order_date) AS hi FROM silver_orders) span
+  FROM (SELECT min(d) AS lo, max(d) AS hi FROM (
+    SELECT order_date AS d FROM silver_orders UNION ALL SELECT shipment_date FROM silver_shipments
+    UNION ALL SELECT make_date(year, 1, 1) FROM silver_budget) dated) span
 ),
 gold_sales AS (
   SELECT d.order_id, d.line_no, o.order_date, s.shipment_date, o.customer_id, o.employee_id, d.product_id,

@@ -6,11 +6,6 @@ SELECT order_id, line_no, shipper_id, shipment_date, source_file FROM fx_shipmen
 SELECT sheet, row_no, last_value(label IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row_no
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label, amount
 FROM fx_report_grid
--- name: budget_grid_repair
-SELECT sheet, row_no, regexp_replace(last_value(c0 IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY row_no
-       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '\.0+$', '') AS office, c1 AS employee_id, c2 AS amount
-FROM fx_budget_grid
-WHERE row_no > 1 AND NOT (c0 IS NULL AND c1 IS NULL AND c2 IS NULL)
 -- name: stringify_columns
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
        CAST(employee_id AS VARCHAR) AS employee_id, CAST(shipper_id AS VARCHAR) AS shipper_id, order_date,
@@ -128,56 +123,6 @@ SELECT * REPLACE (CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBL
 FROM gold_sales
 -- name: fact_budget
 SELECT *, 'SALES_FILES' AS bronze_source_system FROM silver_budget
--- name: profile_shape
-SELECT 'orders' AS source, count(*) AS row_count, CAST(6 AS BIGINT) AS column_count FROM fx_orders
-UNION ALL SELECT 'employees', count(*), 9 FROM fx_employees
-UNION ALL SELECT 'shipments', count(*), 6 FROM fx_shipments
--- name: profile_nulls
-SELECT source, column_name, null_count, round(CAST(null_count AS DOUBLE) * 100 / CAST(n AS DOUBLE), 4) AS null_pct,
-       null_count = n AS all_null
-FROM (
-  SELECT 'orders' AS source, column_name, count(*) AS n, count(*) FILTER (WHERE v IS NULL OR v = '') AS null_count
-  FROM (SELECT unnest(['order_id', 'customer_id', 'employee_id', 'shipper_id', 'order_date', 'total_order'])
-                 AS column_name,
-               unnest([CAST(order_id AS VARCHAR), CAST(customer_id AS VARCHAR), CAST(employee_id AS VARCHAR),
-                       CAST(shipper_id AS VARCHAR), order_date, CAST(total_order AS VARCHAR)]) AS v
-        FROM fx_orders) t GROUP BY column_name
-  UNION ALL
-  SELECT 'employees', column_name, count(*), count(*) FILTER (WHERE v IS NULL OR v = '')
-  FROM (SELECT unnest(['emp_id', 'last_name', 'first_name', 'title', 'hire_date', 'office', 'extension', 'reports_to',
-                       'year_salary']) AS column_name,
-               unnest([emp_id, last_name, first_name, title, hire_date, office, extension, reports_to, year_salary])
-                 AS v
-        FROM fx_employees) t GROUP BY column_name
-  UNION ALL
-  SELECT 'shipments', column_name, count(*), count(*) FILTER (WHERE v IS NULL OR v = '')
-  FROM (SELECT unnest(['order_id', 'line_no', 'shipper_id', 'employee_id', 'shipment_date', 'source_file'])
-                 AS column_name,
-               unnest([CAST(order_id AS VARCHAR), CAST(line_no AS VARCHAR), CAST(shipper_id AS VARCHAR),
-                       CAST(employee_id AS VARCHAR), shipment_date, source_file]) AS v
-        FROM fx_shipments) t GROUP BY column_name
-) counted
--- name: key_candidates
-SELECT source, column_name, total_rows, distinct_count, total_rows - distinct_count AS duplicates,
-       total_rows = distinct_count AS is_key
-FROM (
-  SELECT 'orders' AS source, 'order_id' AS column_name, count(*) AS total_rows,
-         count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS distinct_count FROM fx_orders
-  UNION ALL SELECT 'orders', 'customer_id', count(*),
-         count(DISTINCT customer_id) + max(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) FROM fx_orders
-  UNION ALL SELECT 'orders', 'employee_id', count(*),
-         count(DISTINCT employee_id) + max(CASE WHEN employee_id IS NULL THEN 1 ELSE 0 END) FROM fx_orders
-  UNION ALL SELECT 'orders', 'shipper_id', count(*),
-         count(DISTINCT shipper_id) + max(CASE WHEN shipper_id IS NULL THEN 1 ELSE 0 END) FROM fx_orders
-  UNION ALL SELECT 'employees', 'emp_id', count(*),
-         count(DISTINCT emp_id) + max(CASE WHEN emp_id IS NULL THEN 1 ELSE 0 END) FROM fx_employees
-  UNION ALL SELECT 'shipments', 'order_id', count(*),
-         count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) FROM fx_shipments
-  UNION ALL SELECT 'shipments', 'shipper_id', count(*),
-         count(DISTINCT shipper_id) + max(CASE WHEN shipper_id IS NULL THEN 1 ELSE 0 END) FROM fx_shipments
-  UNION ALL SELECT 'shipments', 'employee_id', count(*),
-         count(DISTINCT employee_id) + max(CASE WHEN employee_id IS NULL THEN 1 ELSE 0 END) FROM fx_shipments
-) counted
 -- name: cross_file_duplicates
 SELECT count(*) AS total_rows, count(DISTINCT (order_id, line_no)) AS distinct_keys,
        count(*) - count(DISTINCT (order_id, line_no)) AS surplus_rows
@@ -428,6 +373,12 @@ UNION ALL
 SELECT 'shipments', 'Cross-file duplicate', count(*) - count(DISTINCT (order_id, line_no)), count(*) FROM fx_shipments
 UNION ALL
 SELECT 'shipments', 'Systemic date anomaly', count(*) FILTER (WHERE days_to_ship < 0), count(*) FROM raw_dates
+UNION ALL
+SELECT 'order_details', 'Key correction', count(*) FILTER (WHERE n > 1), count(*)
+FROM (SELECT order_id, product_id, count(DISTINCT line_no) AS n FROM fx_order_details GROUP BY order_id, product_id) pairs
+UNION ALL
+SELECT 'products / order_details', 'Price difference', count(*) FILTER (WHERE d.unit_price <> p.unit_price), count(*)
+FROM silver_lines d JOIN fx_products p ON d.product_id = p.product_id WHERE d.unit_price IS NOT NULL AND p.unit_price IS NOT NULL
 -- name: merge_upsert
 SELECT COALESCE(s.order_id, t.order_id) AS order_id, COALESCE(s.customer_id, t.customer_id) AS customer_id,
        CAST(COALESCE(s.amount, t.amount) AS DOUBLE) AS amount,

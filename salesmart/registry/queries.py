@@ -27,7 +27,6 @@ LINE_KEY = ["order_id", "line_no"]
 LOSS_TIER = "0.10"
 YTD_DAY = 180
 ORDER_SHIPPER = next(k for k in FOREIGN_KEYS if (k.child, k.parent) == ("orders", "shippers"))
-PROFILED = ["orders", "employees", "shipments"]
 NUMERIC_OUTPUT_METADATA = ("bronze_created_at", "bronze_updated_at", "created_at", "updated_at")
 
 
@@ -54,13 +53,14 @@ def _shipment_slices(s: SalesSources) -> dict[str, DataFrame]:
 
 
 def _merged(s: SalesSources) -> DataFrame:
+    """Order numbers are unique in the stored orders, so both sides go through one shuffle."""
     return merge.merge_upsert(
-        merge.with_fingerprint(s.merge_target(), ["order_id"]), s.merge_source(), ["order_id"]
+        merge.with_fingerprint(s.merge_target(), ["order_id"]), s.merge_source(), ["order_id"], target_is_unique=True
     )
 
 
 def _second_merge(s: SalesSources) -> DataFrame:
-    return merge.merge_upsert(_merged(s).drop(merge.CHANGE), s.merge_source(), ["order_id"])
+    return merge.merge_upsert(_merged(s).drop(merge.CHANGE), s.merge_source(), ["order_id"], target_is_unique=True)
 
 
 def _checked_dates(s: SalesSources) -> DataFrame:
@@ -156,6 +156,8 @@ def _findings(s: SalesSources) -> DataFrame:
         find("orders", "Null FK", shares(orders, F.col("employee_id").isNull())),
         find("shipments", "Cross-file duplicate", overlap),
         find("shipments", "Systemic date anomaly", dates),
+        find("order_details", "Key correction", analysis.dependency_breaks(s.order_details(), ["order_id", "product_id"], "line_no")),
+        find("products / order_details", "Price difference", analysis.price_differences(s.fact("fact_order_details"), s.products())),
     ])
 
 
@@ -177,8 +179,7 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     "union_by_name": lambda s: union_by_name(_shipment_slices(s).values()),
     "shipments_labeled_union": lambda s: labeled_union(_shipment_slices(s)),
     "forward_fill": lambda s: forward_fill(s.report_grid(), "label", ["sheet"], "row_no"),
-    "budget_grid_repair": lambda s: repair_budget_grid(s.budget_grid(["1997"]), ["office", "employee_id", "amount"]),
-    "budget_sheet_repair": lambda s: repair_budget_grid(s.budget_grid(), ["office", "employee_id", *BUDGET_YEARS]),
+    **{name: lambda s: repair_budget_grid(s.budget_grid(), ["office", "employee_id", *BUDGET_YEARS]) for name in ("budget_grid_repair", "budget_sheet_repair")},
     "stringify_columns": lambda s: stringify(s.orders()),
     "normalize_schema": _normalized_orders,
     "lineage_rename": lambda s: lineage_from_bronze(_normalized_orders(s)),
@@ -225,13 +226,11 @@ _QUERIES: dict[str, Callable[[SalesSources], DataFrame]] = {
     "fact_sales": lambda s: s.gold("fact_sales"),
     "fact_budget": lambda s: s.gold("fact_budget"),
     # profiling and key checks
-    "profile_shape": lambda s: union_by_name(profile.profile_shape(s.raw(n), n) for n in PROFILED),
-    "profile_nulls": lambda s: union_by_name(profile.profile_nulls(s.raw(n), n) for n in PROFILED),
-    "key_candidates": lambda s: union_by_name(profile.key_candidates(s.raw(n), n) for n in PROFILED),
-    "profile_shape_all": lambda s: union_by_name(profile.profile_shape(s.raw(n), n) for n in BRONZE_KEYS),
-    "profile_nulls_all": lambda s: union_by_name(profile.profile_nulls(s.raw(n), n) for n in BRONZE_KEYS),
-    "key_candidates_all": lambda s: union_by_name(
-        profile.key_candidates(s.raw(n), n, keys=keys) for n, keys in BRONZE_KEYS.items()),
+    **{name: lambda s: union_by_name(profile.profile_shape(s.raw(n), n) for n in BRONZE_KEYS) for name in ("profile_shape", "profile_shape_all")},
+    **{name: lambda s: union_by_name(profile.profile_nulls(s.raw(n), n) for n in BRONZE_KEYS) for name in ("profile_nulls", "profile_nulls_all")},
+    **{name: lambda s: union_by_name(profile.key_candidates(s.raw(n), n, keys=keys) for n, keys in BRONZE_KEYS.items())
+       for name in ("key_candidates", "key_candidates_all")},
+    "column_profile": lambda s: union_by_name(profile.column_profile(s.raw(n), n, keys=keys) for n, keys in BRONZE_KEYS.items()),
     "cross_file_duplicates": lambda s: keys.duplicate_summary(_shipments(s), LINE_KEY),
     "duplicate_keys": lambda s: keys.duplicate_keys(_shipments(s), LINE_KEY),
     "duplicate_rows": lambda s: keys.duplicate_rows(_shipments(s), LINE_KEY).select(

@@ -21,7 +21,10 @@ def promote_header(grid: DataFrame, names: list[str], header_row: int, row_no: s
 def header_names(grid: DataFrame, header_row: int, row_no: str = "row_no") -> list[str]:
     """The one header row of a sheet, read to the driver because column names are schema, not data."""
     cells = [c for c in grid.columns if c.startswith("c") and c[1:].isdigit()]
-    return list(grid.where(F.col(row_no) == header_row).select(cells).first())
+    header = grid.where(F.col(row_no) == header_row).select(cells).first()
+    if header is None:
+        raise ValueError(f"the sheet has no row {header_row} to take column names from")
+    return list(header)
 
 
 def integral_text(column: str):

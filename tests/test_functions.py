@@ -145,3 +145,18 @@ def test_reassign_key(spark):
     df = spark.createDataFrame([(2, "North"), (2, "Central"), (3, "Central")], "id int, name string")
     out = df.withColumn("id", values.reassign_key("id", (F.col("id") == 2) & (F.col("name") == "Central"), 6))
     assert rows(out) == [(2, "North"), (3, "Central"), (6, "Central")]
+
+
+def test_dropped_digits_are_told(spark):
+    df = spark.createDataFrame([("1.2345",), ("1.23456",), ("1.23450000",), ("x",), ("123456",), (None,), ("-0.00001",)], "v string")
+    assert rows(df.select("v", values.exactly("v", values.DISCOUNT).isNotNull())) == sorted([
+        ("1.2345", True), ("1.23456", False), ("1.23450000", True), ("x", False), ("123456", False), (None, False), ("-0.00001", False)], key=repr)
+
+
+def test_rounded_line_values_are_parse_failures(spark):
+    from salesmart.operators.rules import parse_failures
+    from salesmart.plans import silver
+
+    lines = spark.createDataFrame([(1, "1", "2.5", "1.23456"), (2, "1.5", "10.00", "0.1")], "order_id int, quantity string, unit_price string, discount string")
+    record, parsed = silver.parsed_columns()["order_details"]
+    assert rows(parse_failures(lines, "order_details", record, parsed)) == [("order_details", "discount", "1", "1.23456")]

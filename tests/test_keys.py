@@ -113,3 +113,25 @@ def test_reconcile(spark):
     ]
     counted = reconcile.table_counts({"a": expected, "b": actual.limit(1)}, "n")
     assert rows(counted) == [("a", 3), ("b", 1)]
+
+
+def test_column_profile_is_one_scan_of_everything(spark):
+    df = spark.createDataFrame([(1, "", None, 5), (2, None, None, 5), (2, "x", None, 5), (None, "x", None, 5)], "id int, code string, gap int, office int")
+    assert rows(profile.column_profile(df, "s", keys=["office"])) == [
+        ("s", "code", 4, 4, 2, 50.0, 3, False), ("s", "gap", 4, 4, 4, 100.0, None, None), ("s", "id", 4, 4, 1, 25.0, 3, False), ("s", "office", 4, 4, 0, 0.0, 1, False)]
+    assert rows(profile.column_profile(df.limit(0), "s").select("column_name", "row_count", "null_pct", "is_key")) == [
+        ("code", 0, None, True), ("gap", 0, None, None), ("id", 0, None, True), ("office", 0, None, None)]
+
+
+def test_survivor_of_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (3, None, "c"), (3, None, "d"), (4, 1, "e")], "k int, r int, v string")
+    assert rows(keep_latest(df, ["k"], ["r"])) == [(3, None, "d"), (4, 1, "e"), (None, 2, "b")]
+
+
+def test_key_values_with_many_roles(spark):
+    """One value as parent key, as two foreign keys of one table and as a foreign key of another."""
+    tables = {
+        "p": spark.createDataFrame([(1,), (2,)], "id int"), "a": spark.createDataFrame([(1, 3), (3, 3)], "x long, y int"), "b": spark.createDataFrame([("1 ",), ("9",)], "x string")}
+    links = [ForeignKey("a", "x", "p", "id"), ForeignKey("a", "y", "p", "id"), ForeignKey("b", "x", "p", "id")]
+    assert rows(integrity.orphans(tables, links)) == [("a", "x", "p", "3"), ("a", "y", "p", "3"), ("b", "x", "p", "9")]
+    assert rows(integrity.integrity_counts(tables, links)) == [("a", "x", "p", 2, 2, 1), ("a", "y", "p", 1, 2, 1), ("b", "x", "p", 2, 2, 1)]

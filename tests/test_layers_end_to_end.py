@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from conftest import rows
 
-from salesmart.plans import layers, quality
+from salesmart.plans import layers, quality, views
 from salesmart.plans.loads import run_loads
 from salesmart.plans.tables import GOLD_KEYS
 
@@ -67,7 +67,8 @@ def sources(spark, tmp_path):
     ]
 
 
-def test_files_to_star_schema(spark, sources):
+def test_files_to_star_schema(spark, sources, conf):
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
     for name in ("e2e_bronze", "e2e_silver", "e2e_gold"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
@@ -75,7 +76,7 @@ def test_files_to_star_schema(spark, sources):
         steps = [
             (layers.bronze_specs(sources, "e2e_bronze", ts, "FILES"), 3),
             (layers.silver_specs(spark, "e2e_bronze", "e2e_silver", ts), 3),
-            (layers.gold_specs(spark, "e2e_silver", "e2e_gold", ts), 1),
+            (layers.gold_specs(spark, "e2e_silver", "e2e_gold", ts), 8),
         ]
         results = [r for specs, parallel in steps
                    for r in run_loads(spark, specs, str(ts), ts, "e2e_gold.audit", parallel)]
@@ -120,9 +121,18 @@ def test_files_to_star_schema(spark, sources):
         ("ORPHAN_CUSTOMER_ID", 3),
     ]
 
-    for view in ("dq_orders", "dq_order_details", "dq_shipments"):
+    in_code = {view: rows(spark.table(view)) for view in ("dq_orders", "dq_order_details", "dq_shipments")}
+    for view in in_code:
         spark.catalog.dropTempView(view)
 
+    # the same views in the catalog, read by another session
+    views.create_views(spark, "e2e_silver", "e2e_gold", "e2e_gold")
+    other = spark.newSession()
+    for view, found in in_code.items():
+        assert rows(other.table(f"e2e_gold.{view}")) == found, view
+    assert rows(other.sql("SELECT source_view, count(*) FROM e2e_gold.dq_summary GROUP BY source_view")) == [
+        (view, len(found)) for view, found in sorted(in_code.items()) if found]
+
     second = run(T2)
     changed = {t: r.counts for t, r in second.items() if r.counts.rows_inserted or r.counts.rows_updated}
     assert changed == {}

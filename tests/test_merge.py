@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from salesmart.operators.merge import CHANGE, change_counts, first_load, merge_upsert, with_fingerprint
+from salesmart.operators.merge import CHANGE, change_counts, first_load, merge_counts, merge_rows, merge_upsert, with_fingerprint
 
 SCHEMA = "id int, v string, created_at string, updated_at string"
 
@@ -93,3 +93,46 @@ def test_merge_equals_a_dict(spark, old, new, broadcast):
         assert again.where(F.col(CHANGE).isin("insert", "update")).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_pass_follows_the_same_rules(spark):
+    target = _stored(spark, [(k, v, "t0", "t0") for k, v in [(1, "a"), (2, "b"), (3, "c"), (None, "n"), (7, "x"), (7, "x")]])
+    source = _frame(spark, [(k, v, "t1", "t1") for k, v in [(1, "a"), (2, "B"), (9, "new"), (9, "new"), (None, "n"), (7, "y")]])
+    joined, once = merge_upsert(target, source, ["id"]), merge_upsert(target, source, ["id"], target_is_unique=True)
+    assert joined.columns == once.columns
+    assert rows(once) == rows(joined)
+
+
+def test_one_pass_refuses_repeated_keys_with_different_rows(spark):
+    target = _stored(spark, [(1, "a", "t0", "t0")])
+    for keys in ([(1, "b"), (1, "c")], [(5, "b"), (5, "c")], [(None, "b"), (None, "c")]):
+        with pytest.raises(Exception, match="repeated key"):
+            merge_upsert(target, _frame(spark, [(*k, "t1", "t1") for k in keys]), ["id"], target_is_unique=True).collect()
+
+
+def test_counts_of_one_pass(spark):
+    target = _stored(spark, [(k, "a", "t0", "t0") for k in (1, 2, 3)])
+    source = _frame(spark, [(1, "a", "t1", "t1"), (2, "b", "t1", "t1"), (2, "b", "t1", "t1"), (8, "n", "t1", "t1"), (8, "n", "t1", "t1"), (8, "n", "t1", "t1")])
+    assert rows(merge_counts(merge_rows(target, source, ["id"]))) == [(6, 1, 1, 4, 2)]
+    none = _frame(spark, [])
+    assert rows(merge_counts(merge_rows(_stored(spark, []), none, ["id"]))) == [(0, 0, 0, 0, 0)]
+
+
+@pytest.mark.parametrize("one_pass", [False, True])
+def test_a_column_may_change_its_type(spark, one_pass):
+    """Text after whole numbers: equal text is no change, the stored rows become text."""
+    target = _stored(spark, [(1, 10), (2, 20), (3, 30)], "id int, v int")
+    source = _frame(spark, [(1, "10"), (2, "20 kg"), (4, "x")], "id bigint, v string")
+    merged = merge_upsert(target, source, ["id"], target_is_unique=one_pass)
+    assert dict(merged.dtypes)["v"] == "string" and dict(merged.dtypes)["id"] == "bigint"
+    assert rows(merged.select("id", "v", CHANGE)) == [(1, "10", "unchanged"), (2, "20 kg", "update"), (3, "30", "kept"), (4, "x", "insert")]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from("abc"), max_size=6),
+       st.dictionaries(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from("abc"), max_size=6), st.integers(1, 3))
+def test_one_pass_equals_a_dict(spark, old, new, copies):
+    target = with_fingerprint(spark.createDataFrame(list(old.items()), "a int, v string"), ["a"])
+    source = spark.createDataFrame(list(new.items()) * copies, "a int, v string")
+    merged = merge_upsert(target, source, ["a"], target_is_unique=True)
+    assert rows(merged.select("a", "v")) == sorted(({**old, **new}).items(), key=repr)

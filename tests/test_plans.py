@@ -11,10 +11,14 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from salesmart.operators.dedup import keep_latest
+from salesmart.operators.fill import forward_fill
 from salesmart.operators.keys import duplicate_rows
 from salesmart.operators.merge import merge_upsert, with_fingerprint
-from salesmart.plans import gold
+from salesmart.plans import gold, quality
+from salesmart.plans.tables import BY_ORDER, MOST_LINES, ORDER_BUCKET, SILVER_KEYS
+from salesmart.registry.fixtures import SalesSources
 from salesmart.registry.queries import queries
+from salesmart.sources.tables import key_summary, upsert_partitions
 
 # The year-over-year lookup runs over one row per calendar year.
 ONE_TASK_WINDOWS = {"ytd_vs_ly"}
@@ -119,3 +123,77 @@ def test_copies_of_a_key_are_reduced_before_the_shuffle(spark):
     assert "partial_max" in plan[exchange:] and "partial_max" not in plan[:exchange]
     kept = keep_latest(_hot(spark), ["order_id", "line_no"], ["source_file"]).where("order_id = 7 AND line_no = 1")
     assert rows(kept) == [(7, 1, 29997, "f1")]
+
+
+def test_large_merge_shuffles_each_side_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    target = with_fingerprint(spark.range(1000).selectExpr("id AS k", "id AS v"), ["k"])
+    batch = spark.range(500, 2000).selectExpr("id AS k", "-id AS v")
+    plan = plan_of(merge_upsert(target, batch, ["k"], target_is_unique=True))
+    assert plan.count("Exchange ") == 1 and plan.count("Range (") == 2 and "Join" not in plan
+
+
+def test_an_audit_reads_each_side_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(queries()["pipeline_audit"](spark, SMALL))
+    assert plan.count("Scan parquet") <= 12 and plan.count("SortMergeJoin") <= 2
+
+
+@pytest.fixture
+def stored_facts(spark, conf):
+    """Lines, orders, shipments and products stored as the silver layer stores them."""
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    s = SalesSources(spark, SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS clustered")
+    for name in ("fact_order_details", "fact_orders", "fact_shipments"):
+        if not spark.catalog.tableExists(f"clustered.{name}"):
+            upsert_partitions(spark, s.fact(name), f"clustered.{name}", SILVER_KEYS[name], F.expr(ORDER_BUCKET), clustering=BY_ORDER)
+    return [spark.table(f"clustered.{name}") for name in ("fact_order_details", "fact_orders", "fact_shipments")], s.fact("dim_product")
+
+
+def test_stored_facts_join_without_a_shuffle(spark, stored_facts):
+    facts, products = stored_facts
+    sales = gold.fact_sales(*facts, products, by_order=True)
+    plan = plan_of(sales)
+    assert "Exchange hashpartitioning" not in plan and plan.count("SortMergeJoin") == 2
+    assert plan.count("Bucketed: true") == 3 or plan_of(sales, "formatted").count("Bucketed: true") == 3
+    assert rows(sales) == rows(gold.fact_sales(*facts, products))
+    assert key_summary(spark, "clustered.fact_order_details").most_together <= MOST_LINES
+
+
+def test_forward_fill_spreads_a_sheet_with_gaps(spark, conf):
+    """Rows a million positions apart: no window meets all of them, they are dealt out by block."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    sheet = spark.range(0, 20_000, 1, 4).selectExpr("'s' AS sheet", "id * 1000003 AS row_no", "IF(id % 50 = 0, id, NULL) AS v")
+    filled = forward_fill(sheet, "v", ["sheet"], "row_no", block_rows=1 << 10)
+    sizes = [r["n"] for r in filled.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and len(sizes) >= 12 and max(sizes) < 4_000
+    plan = plan_of(filled)
+    assert not re.search(r"hashpartitioning\(sheet#\d+, 16\)", plan.split("_at0")[0])
+    assert filled.where("v IS NULL OR v <> row_no DIV 1000003 DIV 50 * 50").count() == 0
+
+
+def test_rows_that_are_alone_are_not_sorted(spark, tiny_skew_limits):
+    plan = plan_of(keep_latest(_hot(spark), ["order_id", "line_no"], ["source_file"]))
+    alone = plan[: plan.index("SortAggregate")]
+    assert "LeftAnti" in alone and "LeftSemi" in plan[plan.index("SortAggregate") :]
+
+
+def test_each_table_is_read_once_for_all_links(spark):
+    plan = plan_of(queries()["referential_integrity_counts"](spark, SMALL))
+    # customers read two tables, so twelve sources are thirteen scans at most
+    assert plan.count("Scan parquet") <= 13
+
+
+def test_each_source_is_read_once_for_all_candidates(spark):
+    for name in ("key_candidates", "column_profile"):
+        assert plan_of(queries()[name](spark, SMALL)).count("Scan parquet") <= 13
+
+
+def test_hot_customer_is_split_in_the_order_rules(spark, tiny_skew_limits):
+    orders = _hot(spark).selectExpr("payload AS order_id", "IF(payload % 3 = 0, 7, payload) AS customer_id", "line_no AS employee_id", "line_no AS shipper_id", "date'2020-01-01' AS order_date")
+    parent = lambda pk: spark.range(9000).withColumnRenamed("id", pk)
+    found = quality.dq_orders(orders, parent("customer_id"), parent("emp_id"), parent("shipper_id"))
+    assert "skew=true" in _final_plan(found)
+    assert found.where("rule_failed = 'ORPHAN_CUSTOMER_ID'").count() == 30000 - 10000 - 6000

@@ -8,10 +8,11 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from salesmart.operators.fill import forward_fill
 from salesmart.operators.unions import labeled_union, union_by_name
-from salesmart.sources.calendar import calendar_attributes, calendar_years
+from salesmart.sources.calendar import calendar, calendar_attributes, calendar_years
 from salesmart.sources.files import (
     count_csv_records,
     count_xml_records,
@@ -169,3 +170,35 @@ def test_forward_fill_equals_a_loop(spark, cells, block_rows):
         expected.append((sheet, i, last[sheet]))
     df = spark.createDataFrame(data, "sheet string, row_no int, v int").repartition(3)
     assert rows(forward_fill(df, "v", ["sheet"], "row_no", block_rows)) == sorted(expected, key=repr)
+
+
+def test_calendar_between_two_days(spark):
+    assert calendar(spark, "2016-01-01", date(2021, 12, 31)).count() == 2192
+    assert rows(calendar(spark, "2020-02-28", "2020-03-01")) == [(date(2020, 2, 28),), (date(2020, 2, 29),), (date(2020, 3, 1),)]
+    assert calendar(spark, "2020-02-28", "2020-02-27").count() == 0
+
+
+def test_calendar_covers_several_sources(spark):
+    one = spark.createDataFrame([("2019-12-31",)], "d string")
+    two = spark.createDataFrame([(2022,), (None,)], "year int")
+    none = spark.createDataFrame([], "d string")
+    days = calendar_years(one, "d", (two, F.make_date("year", F.lit(1), F.lit(1))), (none, "d"))
+    assert days.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()[:] == (date(2019, 1, 1), date(2022, 12, 31), 1461)
+    assert calendar_years(none, "d").count() == 0
+
+
+def test_a_sheet_without_header_row(spark):
+    with pytest.raises(ValueError, match="no row 3"):
+        header_names(spark.createDataFrame([("s", 0, "x")], "sheet string, row_no int, c0 string"), 3)
+
+
+@pytest.mark.parametrize("step", [1, 1_000_003, 5_000_000_000_123])
+def test_forward_fill_whatever_the_gaps(spark, step):
+    """Rows far apart, also before zero, and a group without a name."""
+    data = [(None if i % 2 else "s", (i - 30) * step, i if i % 7 == 0 else None) for i in range(60)]
+    last, expected = {}, []
+    for sheet, at, value in data:
+        last[sheet] = value if value is not None else last.get(sheet)
+        expected.append((sheet, at, last[sheet]))
+    df = spark.createDataFrame(data, "sheet string, row_no long, v int").repartition(4)
+    assert rows(forward_fill(df, "v", ["sheet"], "row_no")) == sorted(expected, key=repr)
