@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from salesmart.operators.unions import union_by_name
 
@@ -22,13 +23,17 @@ class ForeignKey:
 MOST_LINKS = 62
 
 
-def _comparable(column: str) -> Column:
-    """A key as trimmed text, so that ``1`` meets ``"1"``; whole numbers of any width have one text."""
-    return F.trim(F.col(f"`{column}`").cast("string"))
+def _comparable(column: str, whole: bool) -> list[Column]:
+    """A key as whole number, or as trimmed text (``1`` meets ``"1"``) where not all columns that meet are whole numbers."""
+    key = F.col(f"`{column}`")
+    return [
+        (key if whole else F.lit(None)).cast("bigint").alias("number"),
+        (F.lit(None).cast("string") if whole else F.trim(key.cast("string"))).alias("text")]
 
 
 def _roles(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
-    """A row per parent key column and value, with the roles the value occurs in: bit 0 where the parent has it, bit ``k`` where
+    """A row per parent key (``parent_key``, its place among the parents of the links) and value, with the roles the value occurs in: bit 0
+    where the parent has it, bit ``k`` where
     the child of the ``k``-th link of that parent uses it.
 
     Each table is read once, whatever number of links it takes part in: a row gives one (parent, value, bit) per role of its
@@ -38,28 +43,27 @@ def _roles(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
     for link in links:
         by_parent.setdefault((link.parent, link.pk), []).append(link)
     roles: dict[str, list[Column]] = {}
-
-    def role(table: str, column: str, parent: tuple[str, str], bit: int) -> None:
-        roles.setdefault(table, []).append(F.struct(
-            F.lit(".".join(parent)).alias("parent_key"), _comparable(column).alias("key"), F.lit(1 << bit).cast("long").alias("mask")))
-
-    for parent, children in by_parent.items():
+    for k, (parent, children) in enumerate(by_parent.items()):
         if len(children) > MOST_LINKS:
             raise ValueError(f"more than {MOST_LINKS} links to {'.'.join(parent)}")
-        role(*parent, parent, 0)
-        for bit, link in enumerate(children, 1):
-            role(link.child, link.fk, parent, bit)
+        columns = [parent, *[(link.child, link.fk) for link in children]]
+        whole = all(isinstance(tables[table].schema[column].dataType, IntegralType) for table, column in columns)
+        for bit, (table, column) in enumerate(columns):
+            roles.setdefault(table, []).append(F.struct(
+                F.lit(k).alias("parent_key"), *_comparable(column, whole), F.lit(1 << bit).cast("long").alias("mask")))
     held = union_by_name(tables[name].select(F.explode(F.array(*own)).alias("held")).select("held.*") for name, own in roles.items())
-    return held.where(F.col("key").isNotNull()).groupBy("parent_key", "key").agg(F.bit_or("mask").alias("mask"))
+    used = held.where(F.col("number").isNotNull() | F.col("text").isNotNull())
+    return used.groupBy("parent_key", "number", "text").agg(F.bit_or("mask").alias("mask"))
 
 
-def _numbered(links: list[ForeignKey]) -> list[tuple[ForeignKey, int]]:
-    """Each link with its bit among the links of its parent."""
-    seen: dict[tuple[str, str], int] = {}
+def _numbered(links: list[ForeignKey]) -> list[tuple[ForeignKey, int, int]]:
+    """Each link with the place of its parent and its bit among the links of that parent."""
+    seen: dict[tuple[str, str], list[int]] = {}
     out = []
     for link in links:
-        seen[link.parent, link.pk] = bit = seen.get((link.parent, link.pk), 0) + 1
-        out.append((link, bit))
+        own = seen.setdefault((link.parent, link.pk), [len(seen), 0])
+        own[1] += 1
+        out.append((link, *own))
     return out
 
 
@@ -70,12 +74,13 @@ def _has(bit: int) -> Column:
 def key_presence(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
     """One row per link and key value, saying on which side the value occurs."""
     sides = [
-        F.when((F.col("parent_key") == f"{link.parent}.{link.pk}") & (_has(bit) | _has(0)), F.struct(
+        F.when((F.col("parent_key") == parent) & (_has(bit) | _has(0)), F.struct(
             F.lit(link.child).alias("child"), F.lit(link.fk).alias("fk"), F.lit(link.parent).alias("parent"),
             _has(bit).alias("in_child"), _has(0).alias("in_parent")))
-        for link, bit in _numbered(links)
+        for link, parent, bit in _numbered(links)
     ]
-    found = _roles(tables, links).select(F.col("key").alias("key_value"), F.explode(F.array_compact(F.array(*sides))).alias("side"))
+    value = F.coalesce(F.col("number").cast("string"), F.col("text")).alias("key_value")
+    found = _roles(tables, links).select(value, F.explode(F.array_compact(F.array(*sides))).alias("side"))
     return found.select("side.child", "side.fk", "side.parent", "key_value", "side.in_child", "side.in_parent")
 
 

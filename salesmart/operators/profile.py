@@ -6,7 +6,7 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField
+from pyspark.sql.types import IntegralType, StringType, StructField
 
 from salesmart.functions.values import percent
 
@@ -48,12 +48,28 @@ def profile_nulls(df: DataFrame, source: str) -> DataFrame:
     )
 
 
-def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """How often each value of each of the columns stands there: each row becomes one (column, value) per column, and those are
-    counted where they are read, so a value shared by many rows travels once per task. Values are compared as text."""
-    held = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+def _value(field: StructField | None) -> list[Column]:
+    """A value as whole number or, of other types, as text; no value if there is no field."""
+    whole = field is not None and isinstance(field.dataType, IntegralType)
+    column = F.lit(None) if field is None else F.col(f"`{field.name}`")
+    return [(column if whole else F.lit(None)).cast("bigint").alias("number"), (F.lit(None) if whole else column).cast("string").alias("value")]
+
+
+def _value_counts(df: DataFrame, fields: list[tuple[StructField, bool]]) -> DataFrame:
+    """How often each value of each field (named by its place) stands there, or only how many are empty where the value does not matter:
+    each row becomes one (field, empty or not, value) per field, and those are
+    counted where they are read, so a value shared by many rows travels once per task."""
+    held = [F.struct(F.lit(k).alias("k"), _empty(f).alias("is_empty"), *_value(f if valued else None)) for k, (f, valued) in enumerate(fields)]
     pairs = df.select(F.explode(F.array(*held)).alias("held")).select("held.*")
-    return pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    counts = pairs.groupBy("k", "is_empty", "number", "value").agg(F.count("*").alias("n"))
+    return counts.groupBy("k").agg(
+        F.sum("n").alias("row_count"), F.sum(F.when(F.col("is_empty"), F.col("n"))).alias("null_count"), F.count("*").alias("distinct_count"))
+
+
+def _with_names(counts: DataFrame, fields: list[tuple[StructField, bool]]) -> DataFrame:
+    """The counts next to all fields, also those of a source without rows."""
+    named = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f.name).alias("column_name"), F.lit(valued).alias("candidate")) for k, (f, valued) in enumerate(fields)])
+    return counts.sparkSession.range(1).select(F.inline(named)).join(counts, "k", "left")
 
 
 def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS, keys: Collection[str] = ()) -> DataFrame:
@@ -61,13 +77,11 @@ def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_K
 
     All candidates of a source come from one scan and one grouped count. A source without rows has candidates without values.
     """
-    candidates = [c for c in df.columns if _looks_like_key(c, keywords, keys)]
+    candidates = [(f, True) for f in df.schema.fields if _looks_like_key(f.name, keywords, keys)]
     if not candidates:
         raise ValueError(f"no column of {source} contains any of {keywords}")
-    per_column = _value_counts(df, candidates).groupBy("column_name").agg(F.sum("n").alias("total_rows"), F.count("*").alias("distinct_count"))
-    named = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, candidates))).alias("column_name"))
-    total, distinct = F.coalesce("total_rows", F.lit(0)), F.coalesce("distinct_count", F.lit(0))
-    return named.join(per_column, "column_name", "left").select(
+    total, distinct = F.coalesce("row_count", F.lit(0)), F.coalesce("distinct_count", F.lit(0))
+    return _with_names(_value_counts(df, candidates), candidates).select(
         F.lit(source).alias("source"),
         "column_name",
         total.alias("total_rows"),
@@ -80,24 +94,13 @@ def key_candidates(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_K
 def column_profile(df: DataFrame, source: str, keywords: tuple[str, ...] = KEY_KEYWORDS, keys: Collection[str] = ()) -> DataFrame:
     """Shape, empty values and key candidates of a source in one scan: a row per column.
 
-    Each row becomes one (column, empty or not, value) per column; only candidates carry their value, so any other column
+    Only candidates carry their values, so any other column
     is two numbers per task. ``distinct_count`` and ``is_key`` are NULL for columns that are no candidates. A source without rows gives its columns with zeros.
     """
-    held = [
-        F.struct(
-            F.lit(f.name).alias("column_name"), _empty(f).alias("is_empty"),
-            (F.col(f"`{f.name}`").cast("string") if _looks_like_key(f.name, keywords, keys) else F.lit(None).cast("string")).alias("value"))
-        for f in df.schema.fields
-    ]
-    pairs = df.select(F.explode(F.array(*held)).alias("held")).select("held.*")
-    counts = pairs.groupBy("column_name", "is_empty", "value").agg(F.count("*").alias("n"))
-    per_column = counts.groupBy("column_name").agg(
-        F.sum("n").alias("row_count"), F.sum(F.when(F.col("is_empty"), F.col("n"))).alias("null_count"), F.count("*").alias("distinct_count"))
-    candidate = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(_looks_like_key(c, keywords, keys)).alias("candidate")) for c in df.columns])
-    named = df.sparkSession.range(1).select(F.inline(candidate))
+    fields = [(f, _looks_like_key(f.name, keywords, keys)) for f in df.schema.fields]
     rows, empty = F.coalesce("row_count", F.lit(0)), F.coalesce("null_count", F.lit(0))
     distinct = F.when(F.col("candidate"), F.coalesce("distinct_count", F.lit(0)))
-    return named.join(per_column, "column_name", "left").select(
+    return _with_names(_value_counts(df, fields), fields).select(
         F.lit(source).alias("source"),
         "column_name",
         F.lit(len(df.columns)).cast("long").alias("column_count"),

@@ -241,7 +241,8 @@ class SalesSources:
     def gold(self, name: str) -> DataFrame:
         s = self.silver
         return {
-            "dim_date": lambda: gold.dim_date(*map(self.fact, ("fact_orders", "fact_shipments", "fact_budget"))),
+            "dim_date": lambda: gold.dim_date(
+                self.fact("fact_orders"), silver.correct_shipment_date(self.shipments()), self.fact("fact_budget")),
             "dim_customer": lambda: gold.dim_customer(s("dim_customer"), s("dim_division")),
             "dim_product": lambda: gold.dim_product(s("dim_product"), s("dim_category")),
             "dim_employee": lambda: gold.dim_employee(s("dim_employee"), s("dim_office")),

@@ -60,7 +60,8 @@ gold_dates AS (
   SELECT CAST(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 1 YEAR
                                      - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS full_date
   FROM (SELECT min(d) AS lo, max(d) AS hi FROM (
-    SELECT order_date AS d FROM silver_orders UNION ALL SELECT shipment_date FROM silver_shipments
+    SELECT order_date AS d FROM silver_orders UNION ALL
+    SELECT CAST(CAST(strptime(shipment_date, '%-m/%-d/%Y') AS DATE) + INTERVAL 108 MONTH AS DATE) FROM fx_shipments
     UNION ALL SELECT make_date(year, 1, 1) FROM silver_budget) dated) span
 ),
 gold_sales AS (
