@@ -15,12 +15,12 @@ def keep_latest(df: DataFrame, keys: list[str], rank: list[str]) -> DataFrame:
     The survivor depends on the values only, never on which file or task came last. NULLs rank lowest, and a NULL key is a key.
 
     Two phases: a pass over the keys alone finds those that repeat. Only their rows go through the maximum of whole rows; all others
-    are the only one of their key and pass as they are, unsorted. The maximum is taken where rows are read first, so a key with a
+    are the only one of their key and pass as they are, unsorted, as the repeated keys of a partition are looked up in a hash table. The maximum is taken where rows are read first, so a key with a
     third of all rows costs one row per task in the shuffle.
     """
     repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
     same = reduce(and_, [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    rows, again = df.alias("d"), repeated.alias("r")
+    rows, again = df.alias("d"), repeated.alias("r").hint("shuffle_hash")
     alone = rows.join(again, same, "left_anti")
     rest = [c for c in df.columns if c not in keys and c not in rank]
     best = F.max(F.struct(*rank, *rest)).alias("_best")

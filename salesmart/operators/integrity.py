@@ -51,7 +51,8 @@ def _roles(tables: dict[str, DataFrame], links: list[ForeignKey]) -> DataFrame:
         for bit, (table, column) in enumerate(columns):
             roles.setdefault(table, []).append(F.struct(
                 F.lit(k).alias("parent_key"), *_comparable(column, whole), F.lit(1 << bit).cast("long").alias("mask")))
-    held = union_by_name(tables[name].select(F.explode(F.array(*own)).alias("held")).select("held.*") for name, own in roles.items())
+    held = union_by_name(
+        tables[name].select((F.explode(F.array(*own)) if len(own) > 1 else own[0]).alias("held")).select("held.*") for name, own in roles.items())
     used = held.where(F.col("number").isNotNull() | F.col("text").isNotNull())
     return used.groupBy("parent_key", "number", "text").agg(F.bit_or("mask").alias("mask"))
 
