@@ -103,7 +103,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
     """Document frequencies over all ``docs``, vectors of at most ``2 * size`` labelled rows.
 
     The sample is bounded by ``size``; its rows are weighted so that both labels count as they do among all labelled
-    rows. Labels other than 0 and 1 are not learnt from; an id with both labels counts as both.
+    rows. Labels other than 0 and 1 are not learnt from; an id with both labels counts as both. Of different texts under one id the one
+    with the smallest hash is learnt from.
     """
     spark = docs.sparkSession
 
@@ -128,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([rows.column(id_column), pa.array([x.tobytes() for x in features(data, at)], pa.binary())], [id_column, "x"])
 
     rows = (docs.select(id_column, text_column).join(F.broadcast(wanted), id_column, "left_semi")
-            .dropDuplicates([id_column]).mapInArrow(vectors, f"`{id_column}` {dict(docs.dtypes)[id_column]}, x binary").collect())
+            .groupBy(id_column).agg(F.min_by(text_column, F.xxhash64(text_column)).alias(text_column)).mapInArrow(vectors, f"`{id_column}` {dict(docs.dtypes)[id_column]}, x binary").collect())
     rows = sorted(rows, key=lambda r: r[0])
     x = np.array([np.frombuffer(r.x, np.float32) for r in rows for _ in sample[r[0]]]).reshape(-1, FEATURES)
     y = np.array([k for r in rows for k in sample[r[0]]], int)

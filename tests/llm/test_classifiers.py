@@ -78,3 +78,37 @@ def test_neighbours_are_exact():
 
 def test_small_tables(spark):
     assert queries.op3_language_id(spark, SMALL).count() == queries.op9_quality(spark, SMALL).count() == 200
+
+
+def test_decoding_equals_plain_python():
+    """Language by language and bit by bit: the codeword with the least trust-weighted logistic loss, its share of the likelihood, the flag."""
+    import math
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    model = language.Model(["a", "b", "c", "d"], rng.integers(0, 40, (4, language.FEATURES)).astype(float))
+    texts = ["the cat", "der Hund und die Katze", "x", "été à la plage", "", "123 !!", "word " * 400]
+    data, at = language.arrays.texts(pa.array(texts, pa.string()))
+    best, share, close, seen = model.decode(data, at)
+    found = [[] for _ in texts]
+    for feature, row in language.grams(data, at):
+        for f, r in zip(feature.tolist(), row.tolist(), strict=True):
+            found[r].append(f)
+    for k, own in enumerate(found):
+        evidence = min(len(own), language.EVIDENCE)
+        margins = [sum(float(model.weights[f, b]) for f in own) * evidence / max(1, len(own)) for b in range(model.code.shape[1])]
+        losses = [sum(t * math.log1p(math.exp(-abs(m * c))) + t * max(0.0, -m * c) for m, c, t in zip(margins, word, model.trust, strict=True)) for word in model.code.tolist()]
+        ranked = sorted(losses)
+        assert seen[k] == len(own)
+        assert losses[best[k]] == pytest.approx(ranked[0], rel=1e-4, abs=1e-6)
+        assert share[k] == pytest.approx(1 / sum(math.exp(ranked[0] - x) for x in ranked), rel=1e-2)
+        if abs(ranked[1] - ranked[0] - language.CLOSE * max(evidence, 1)) > 1e-3:
+            assert close[k] == (ranked[1] - ranked[0] < language.CLOSE * max(evidence, 1))
+
+
+def test_quality_learns_the_same_from_repeated_ids(spark):
+    rows = [(1, "Good words stand here."), (1, "bad bad bad"), (1, None), (2, "zzz zzz 111"), (2, "zzz zzz 111"), (3, "More good words.")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    models = [quality.train(spark.createDataFrame(own, "doc_id long, text string").repartition(parts), labels) for own, parts in ((rows, 1), (rows[::-1], 4))]
+    assert np.array_equal(models[0].known, models[1].known) and np.array_equal(models[0].labels, models[1].labels)
