@@ -9,7 +9,8 @@ below; sizes at a ratio of 0.8 are never further apart.
 Inside a block the nodes are leaves of signature trees. A signature is a bitmap of hashed shingles; a tree node holds
 the OR of the bitmaps below and the range of set sizes. Two trees are walked together, and a pair of tree nodes is dropped
 when no pair of sets below can reach the threshold: they differ too much in size, or their common bits, and what may
-hide behind shared bits, are too few. Nodes that keep a partner are compared exactly, on their texts, in the same cell.
+hide behind shared bits, are too few. Nodes that keep a partner are compared exactly, on their texts;
+the cells of a neighbourhood are dealt to one task, so that it needs each text once.
 
 Links only matter between different groups. First every node is compared with the smallest node of each of its blocks,
 and blocks whose nodes are all in one group by then are done; only the others are walked, and only between groups. A
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,11 +40,17 @@ FREQUENT, FREQUENT_SHARE = 256, 1e-4
 #: Nodes on either side of a cell; cells of at most SMALL rows are compared without a tree above the leaves.
 CELL, SMALL = 512, 24
 CELL_KEY = ("token", "band", "i", "j")
+#: Bits of a signature for each member, at least; with fewer, chance and shared bits let most pairs of a cell through.
+BITS_PER_MEMBER = 4
+#: Rows of cells that are compared with the same texts in hand; a deal of more rows is cut between cells.
+DEAL_ROWS = 1 << 14
 #: Most active ids that are broadcast (8 bytes each) to fetch their texts; more are joined.
 BROADCAST_IDS = 1_000_000
 _LEAF, _FAN = 8, 4
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
-_TASK_TOKENS = 1 << 22
+_TASK_TOKENS = 1 << 19
+#: Pairs of a deal that are remembered as compared (8 bytes each); others may be compared again, with the same result.
+_PAIRS_KEPT = 1 << 20
 
 
 def enough(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,9 +93,9 @@ def node_of(members: np.ndarray) -> int:
 
 
 def signature(members: np.ndarray) -> np.ndarray:
-    """A bitmap of one to two bits per member, in bytes; its width is a power of two."""
+    """A bitmap of at least ``BITS_PER_MEMBER`` bits per member, in bytes; its width is a power of two."""
     width = 64
-    while width < len(members):
+    while width < BITS_PER_MEMBER * len(members):
         width *= 2
     bits = np.zeros(width, bool)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = True
@@ -130,7 +138,7 @@ def _prefixes(frequent: np.ndarray):
             for members in shingle_sets(data, at):
                 if not len(members) or (node := node_of(members)) in seen:
                     continue
-                if len(seen) < 1 << 20:
+                if len(seen) < 1 << 16:
                     seen.add(node)
                 n = len(members)
                 length = n - -(-4 * n // 5) + 1
@@ -252,16 +260,14 @@ def small_cell_pairs(cell: np.ndarray, sizes: np.ndarray, bits: list[bytes], gro
 
 def _pairs_of_cells(table: pa.Table, sizes: np.ndarray, bits: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places in whole cells, whose rows stand together."""
-    keys = [table.column(c).to_numpy() for c in CELL_KEY]
-    new = np.ones(table.num_rows, bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-    cell = np.cumsum(new) - 1
+    begins = _starts(table, CELL_KEY)
+    cell = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, table.num_rows)))
     groups, left = table.column("component").to_numpy(), table.column("left").to_numpy()
     rows = np.bincount(cell)
     small = np.flatnonzero(rows[cell] <= SMALL)
     for x, y in small_cell_pairs(cell[small], sizes[small], [bits[k] for k in small], groups[small], left[small]):
         yield small[x], small[y]
-    starts = np.append(np.flatnonzero(new), table.num_rows)
+    starts = np.append(begins, table.num_rows)
     for c in np.flatnonzero(rows > SMALL).tolist():
         own = np.arange(starts[c], starts[c + 1])
         for x, y in cell_pairs(sizes, bits, groups, own[left[own]], own[~left[own]]):
@@ -269,11 +275,26 @@ def _pairs_of_cells(table: pa.Table, sizes: np.ndarray, bits: list[bytes]) -> It
 
 
 def _with_partners(table: pa.Table) -> list[pa.RecordBatch]:
-    """The rows of cells that may link to another one; never more than there are."""
+    """The rows of cells that may link to another one, never more than there are, each with its cell's ``deal``: the smallest node of
+    those rows. Cells of the same neighbourhood, one for each shingle that its nodes share, mostly have the same deal."""
     some = np.zeros(table.num_rows, bool)
     for x, y in _pairs_of_cells(table, table.column("n").to_numpy(), table.column("bits").to_pylist()):
         some[x] = some[y] = True
-    return table.filter(pa.array(some)).select([*CELL_KEY, "node", "component", "left"]).combine_chunks().to_batches(max_chunksize=1 << 30)
+    rows = table.filter(pa.array(some)).select([*CELL_KEY, "node", "component", "left"]).combine_chunks()
+    if not rows.num_rows:
+        return []
+    nodes = rows.column("node").to_numpy()
+    new = _starts(rows, CELL_KEY)
+    deal = np.repeat(np.minimum.reduceat(nodes, new), np.diff(np.append(new, len(nodes))))
+    return rows.append_column("deal", pa.array(deal, pa.int64())).combine_chunks().to_batches(max_chunksize=1 << 30)
+
+
+def _starts(table: pa.Table, key: tuple[str, ...]) -> np.ndarray:
+    """Where a row has another key than the one before."""
+    columns = [table.column(c).to_numpy() for c in key]
+    new = np.ones(table.num_rows, bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new)
 
 
 def common_members(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -300,12 +321,22 @@ def common_members(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.n
     return common[own_x, own_y].astype(np.int64)
 
 
-def _links_of_cells(table: pa.Table) -> list[pa.RecordBatch]:
-    """Links inside whole cells that join different groups: as many as join them, not all."""
-    sets = []
-    for row in range(0, table.num_rows, 256):
-        sets += shingle_sets(*arrays.texts(table.column("text").slice(row, 256).combine_chunks()))
-    sizes, nodes, groups = np.array([len(s) for s in sets], np.int64), table.column("node").to_numpy(), table.column("component").to_numpy()
+def _links_of_deal(table: pa.Table) -> list[pa.RecordBatch]:
+    """Links inside the cells of a deal that join different groups: as many as join them, not all. The rows without a cell, first, bring
+    the texts, one of each node; a pair that several cells hold is compared once."""
+    with_text = int(pc.sum(table.column("text").is_valid()).as_py() or 0)
+    texts, rows = table.slice(0, with_text), table.slice(with_text).combine_chunks()
+    held = []
+    for row in range(0, texts.num_rows, 256):
+        held += shingle_sets(*arrays.texts(texts.column("text").slice(row, 256).combine_chunks()))
+    known = texts.column("node").to_numpy()
+    order = np.argsort(known)
+    nodes, groups = rows.column("node").to_numpy(), rows.column("component").to_numpy()
+    at = order[np.searchsorted(known[order], nodes)]
+    group_of = np.zeros(len(held), np.int64)
+    group_of[at] = groups
+    lengths = np.array([len(s) for s in held], np.int64)
+    bitmaps = [signature(s).tobytes() for s in held]
     parent: dict[int, int] = {}
 
     def root(g: int) -> int:
@@ -313,21 +344,26 @@ def _links_of_cells(table: pa.Table) -> list[pa.RecordBatch]:
             g = up
         return g
 
-    links = []
-    for x, y in _pairs_of_cells(table, sizes, [signature(s).tobytes() for s in sets]):
+    links, done = [], np.zeros(0, np.int64)
+    for x, y in _pairs_of_cells(rows, lengths[at], [bitmaps[k] for k in at.tolist()]):
         for part in range(0, len(x), 1 << 16):
-            i, j = x[part : part + (1 << 16)], y[part : part + (1 << 16)]
-            true = enough(common_members(sets, i, j), sizes[i], sizes[j])
+            i, j = at[x[part : part + (1 << 16)]], at[y[part : part + (1 << 16)]]
+            pairs = np.unique(np.minimum(i, j) * len(held) + np.maximum(i, j))
+            pairs = pairs[~np.isin(pairs, done)] if len(done) else pairs
+            if len(done) < _PAIRS_KEPT:
+                done = np.concatenate([done, pairs])
+            i, j = pairs // len(held), pairs % len(held)
+            true = enough(common_members(held, i, j), lengths[i], lengths[j])
             for a, b in zip(i[true].tolist(), j[true].tolist(), strict=True):
-                ga, gb = root(int(groups[a])), root(int(groups[b]))
+                ga, gb = root(int(group_of[a])), root(int(group_of[b]))
                 if ga != gb:
                     parent[max(ga, gb)] = min(ga, gb)
-                    links.append((int(nodes[a]), int(nodes[b])))
+                    links.append((int(known[a]), int(known[b])))
     return [pa.RecordBatch.from_arrays([pa.array([k[0] for k in links], pa.int64()), pa.array([k[1] for k in links], pa.int64())], ["a", "b"])]
 
 
-def _by_cell(handle):
-    """``handle`` over the cells of a partition sorted by cell; one that a batch ends in waits for the next batch."""
+def _by_key(handle, key: tuple[str, ...]):
+    """``handle`` over the groups of a partition sorted by ``key``; one that a batch ends in waits for the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -335,7 +371,7 @@ def _by_cell(handle):
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
             last = np.ones(table.num_rows, bool)
-            for c in CELL_KEY:
+            for c in key:
                 k = table.column(c).to_numpy()
                 last &= k == k[-1:]
             cut = table.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
@@ -445,8 +481,7 @@ def _named_groups(docs: DataFrame, id_column: str, text_column: str, frequent: i
     links = written(_linked_pairs(pairs, base, sets), "links")
     groups = components(links)
     partners = _between_groups(rows, groups, bitmaps, cell)
-    texts = _texts_of(partners.select("node").distinct(), base, sets)
-    more = partners.join(texts, "node").repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_by_cell(_links_of_cells), "a long, b long")
+    more = _links_between(partners, _texts_of(partners.select("node").distinct(), base, sets))
     groups = components(links.unionByName(more))
 
     named = splittable_join(sets, groups, ["node"], "left").select("id", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -498,8 +533,32 @@ def _between_groups(rows: DataFrame, groups: DataFrame, bitmaps: DataFrame, cell
     cell_rows = left.unionByName(right).join(bitmaps, "node")
     cell_rows = cell_rows.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
     kinds = dict(cell_rows.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in (*CELL_KEY, "node", "component", "left"))
-    return written(cell_rows.mapInArrow(_by_cell(_with_partners), schema), "partners")
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*CELL_KEY, "node", "component", "left")) + ", deal long"
+    return written(cell_rows.mapInArrow(_by_key(_with_partners, CELL_KEY), schema), "partners")
+
+
+def _links_between(partners: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links that join groups. The cells of a deal go to one task, and each text goes there once, not with every cell. A deal
+    of more than ``DEAL_ROWS`` rows is cut into shares of whole cells."""
+    shares = partners.groupBy("deal").agg(F.ceil(F.count("*") / F.lit(DEAL_ROWS)).alias("shares"))
+    share = F.pmod(F.xxhash64(*CELL_KEY), F.col("shares")).cast("int").alias("share")
+    rows = splittable_join(partners, shares, ["deal"], "inner").select("deal", share, *CELL_KEY, "node", "component", "left")
+    needed = rows.select("deal", "share", "node").distinct().join(texts, "node")
+    nothing = [F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c not in ("deal", "share", "node")]
+    both = needed.select("deal", "share", "node", "text", *nothing).unionByName(rows.withColumn("text", F.lit(None).cast("string")))
+    dealt = both.repartition("deal", "share").sortWithinPartitions("deal", "share", F.col("text").isNull(), *CELL_KEY)
+    return dealt.mapInArrow(_each(_links_of_deal, ("deal", "share")), "a long, b long")
+
+
+def _each(handle, key: tuple[str, ...]):
+    """``handle`` on one group after the other."""
+
+    def groups(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        cuts = np.append(_starts(table, key), table.num_rows)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield from handle(table.slice(a, b - a))
+
+    return _by_key(groups, key)
 
 
 def _add_node(frame: DataFrame, text_column: str, name: str) -> DataFrame:
