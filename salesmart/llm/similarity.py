@@ -41,9 +41,9 @@ FREQUENT, FREQUENT_SHARE = 256, 1e-4
 CELL, SMALL = 512, 24
 CELL_KEY = ("token", "band", "i", "j")
 #: Bits of a signature for each member, at least; with fewer, chance and shared bits let most pairs of a cell through.
-BITS_PER_MEMBER = 4
+BITS_PER_MEMBER = 2
 #: Rows of cells that are compared with the same texts in hand; a deal of more rows is cut between cells.
-DEAL_ROWS = 1 << 14
+DEAL_ROWS = 1 << 12
 #: Most active ids that are broadcast (8 bytes each) to fetch their texts; more are joined.
 BROADCAST_IDS = 1_000_000
 _LEAF, _FAN = 8, 4
