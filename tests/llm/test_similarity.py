@@ -72,6 +72,14 @@ def test_groups(frame, frequent, cell):
     assert collected(found) == brute(rows)
 
 
+@pytest.mark.parametrize("deal_rows", [1, 7])
+def test_groups_whatever_the_deals(frame, monkeypatch, deal_rows):
+    """Deals cut into shares of a few rows, whole cells at least, find the same groups."""
+    monkeypatch.setattr(similarity, "DEAL_ROWS", deal_rows)
+    rows = sample(11)
+    assert collected(similarity.jaccard_groups(frame(rows), frequent=8, cell=16)) == brute(rows)
+
+
 def test_walk_keeps_all_links():
     rng = np.random.default_rng(0)
     for _ in range(20):
