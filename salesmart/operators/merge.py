@@ -13,7 +13,7 @@ from salesmart.functions.types import aligned
 from salesmart.operators.keys import require_unique
 
 CHANGE = "_change"
-_ORIGIN, _BATCH, _NEXT_ORIGIN, _NEXT_HASH, _NTH = "_origin", "_batch", "_next_origin", "_next_hash", "_nth"
+_ORIGIN, _BATCH, _NEXT_ORIGIN, _NEXT_HASH, _NTH, _FIRST_HASH = "_origin", "_batch", "_next_origin", "_next_hash", "_nth", "_first_hash"
 
 
 def with_fingerprint(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,7 +87,7 @@ def merge_upsert(
     return existing.unionByName(inserts)
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], fail_on_conflict: bool = True) -> DataFrame:
     """Both sides united and read once, key by key: the rows of the merged table with ``_change``, and with NULL there the rows of
     the source that matched or repeated. ``_origin`` is 0 for rows of the source and 1 for those of the target; ``_nth``
     numbers the rows of the source within a key.
@@ -95,6 +95,9 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
     Source rows come first within their key, in the order of their fingerprints. A target row sees the last of them; a source
     row is an insert if nothing follows it; two in a row with different fingerprints fail the job. All of that looks back
     at one row or ahead at one, so a key of any size streams through its task; but one key is one task.
+
+    For reports that write nothing, ``fail_on_conflict=False`` passes over a source key with different rows instead: none of
+    them is an insert, and rows of the target under that key are kept.
     """
     batch = with_fingerprint(source, keys)
     own = set(batch.columns)
@@ -111,14 +114,18 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
         F.last(F.when(from_batch, F.struct(*taken)), ignorenulls=True).over(so_far).alias(_BATCH),
         F.lead(_ORIGIN).over(in_key).alias(_NEXT_ORIGIN), F.lead("row_hash").over(in_key).alias(_NEXT_HASH),
         F.count_if(from_batch).over(so_far).alias(_NTH),
+        F.first("row_hash").over(so_far).alias(_FIRST_HASH),
     )
-    conflict = from_batch & (F.col(_NEXT_ORIGIN) == 0) & (F.col("row_hash") != F.col(_NEXT_HASH))
-    message = F.concat(F.lit("merge source: repeated key with different rows: "), F.to_json(F.struct(*keys)))
-    change = (
-        F.when(conflict, F.raise_error(message).cast("string"))
-        .when(from_batch, F.when(F.col(_NEXT_ORIGIN).isNull(), "insert"))
-        .otherwise(_existing_change(F.col("row_hash"), F.col(f"{_BATCH}.row_hash")))
-    )
+    inserts = F.when(F.col(_NEXT_ORIGIN).isNull(), "insert")
+    existing = _existing_change(F.col("row_hash"), F.col(f"{_BATCH}.row_hash"))
+    if fail_on_conflict:
+        conflict = from_batch & (F.col(_NEXT_ORIGIN) == 0) & (F.col("row_hash") != F.col(_NEXT_HASH))
+        message = F.concat(F.lit("merge source: repeated key with different rows: "), F.to_json(F.struct(*keys)))
+        change = F.when(conflict, F.raise_error(message).cast("string")).when(from_batch, inserts).otherwise(existing)
+    else:
+        # the first row of a key is one of the source if there are any; a key without them has no _BATCH
+        conflict = F.col(_FIRST_HASH) != F.col(f"{_BATCH}.row_hash")
+        change = F.when(from_batch, F.when(~conflict, inserts)).when(conflict, "kept").otherwise(existing)
     replace = F.col(CHANGE) == "update"
     return seen.withColumn(CHANGE, change).select(
         *[F.when(replace, F.col(f"{_BATCH}.{c}")).otherwise(F.col(c)).alias(c) if c in taken else F.col(c) for c in columns],

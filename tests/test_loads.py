@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.audit import stamp
 from salesmart.operators.keys import validate_key
+from salesmart.operators.merge import merge_upsert, with_fingerprint
 from salesmart.plans import loads, silver
 from salesmart.plans.loads import LoadSpec
 from salesmart.plans.tables import BRONZE_KEYS, SILVER_KEYS
@@ -312,3 +313,30 @@ def test_tables_that_wait_for_each_other_are_refused(spark, db):
     specs = [LoadSpec(f"{db}.a", None, ["id"], inputs=(f"{db}.b",)), LoadSpec(f"{db}.b", None, ["id"], inputs=(f"{db}.a",))]
     with pytest.raises(ValueError, match="wait for each other"):
         loads.run_loads(spark, specs, "r", T1, f"{db}.audit")
+
+
+@pytest.mark.parametrize("stored_key", ["bigint", "int"])
+def test_merge_audit_of_rows_in_many_partitions(spark, conf, stored_key):
+    """Keys of the same or another type, keys without a value, rows that come again and rows that only one side has."""
+    conf("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "37")
+    stored = spark.range(0, 3000).selectExpr(f"CAST(nullif(id, 7) AS {stored_key}) AS k", "id % 5 AS v")
+    stored = with_fingerprint(stored.dropDuplicates(["k"]), ["k"])
+    batch = spark.range(1000, 5000).selectExpr("nullif(id, 4999) AS k", "id % 5 + if(id % 10 = 0, 1, 0) AS v")
+    batch = batch.unionByName(batch.where("k % 100 = 1"))
+    again = batch.agg(F.count("*").alias("n"))
+    # the batch's NULL key meets the stored one, with v = 4 instead of 2
+    expected = [("t", 4040, 1999, 201, 4999, 40, "SUCCESS")]
+    assert rows(loads.merge_audit("t", stored, batch, ["k"], again)) == expected
+    assert rows(loads.merge_audit("t", stored.coalesce(1), batch.coalesce(2), ["k"], again)) == expected
+
+
+def test_merge_audit_reports_keys_that_repeat_with_different_rows(spark):
+    """A stored key, a new one and the one without a value: nothing is taken for them, the other keys merge."""
+    schema = "k int, v string"
+    stored = with_fingerprint(spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "a"), (None, "a")], schema), ["k"])
+    batch = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (1, "a"), (2, "b"), (2, "b"), (3, "a"), (8, "x"), (8, "y"), (9, "n"), (None, "a"), (None, "z")], schema)
+    again = batch.agg(F.count("*").alias("n"))
+    assert rows(loads.merge_audit("t", stored, batch, ["k"], again)) == [("t", 11, 1, 1, 6, 4, "SUCCESS")]
+    with pytest.raises(Exception, match="repeated key with different rows"):
+        merge_upsert(stored, batch, ["k"], target_is_unique=True).collect()

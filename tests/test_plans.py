@@ -139,6 +139,35 @@ def test_an_audit_reads_each_side_once(spark, conf):
     assert plan.count("Scan parquet") <= 12 and plan.count("SortMergeJoin") <= 2
 
 
+@pytest.fixture
+def few_sales(spark, tmp_path):
+    """Tables of a few rows, with a line that stands there twice and rows without a key."""
+    tables = {
+        "nation": "SELECT 0L AS n_nationkey, 'A' AS n_name",
+        "customer": "SELECT if(id = 9, NULL, id) AS c_custkey, 'c' AS c_name, 0 AS c_nationkey FROM range(10)",
+        "orders": "SELECT if(id = 9, NULL, id) AS o_orderkey, id AS o_custkey, 1.5D AS o_totalprice FROM range(10)",
+        "lineitem": "SELECT if(id = 9, NULL, id % 8) AS l_orderkey, 5L AS l_partkey, 3L AS l_suppkey, 1 AS l_linenumber,"
+                    " 2D AS l_quantity, TIMESTAMP '2000-01-01 00:00:00' AS l_shipdate FROM range(10)",
+    }
+    for name, rows_of in tables.items():
+        spark.sql(rows_of).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_an_audit_shuffles_rows_once_and_no_fingerprints(spark, few_sales):
+    audit = queries()["pipeline_audit"](spark, few_sales)
+    lines = plan_of(audit).splitlines()
+    depth = [len(re.match(r"[ :+|*-]*", line).group()) for line in lines]
+    shuffles = [k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 6  # the two sides of three sources
+    for k in shuffles:
+        below = next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines))
+        assert not any("sha2(" in line or "hashpartitioning" in line for line in lines[k + 1:below])
+    assert sum("sha2(" in line for line in lines) == 6
+    # line 0 of order 0 comes twice, order 1 is exported twice; order 0 is stored under -1, and its amount and that of 6 differ
+    assert rows(audit) == [("customers", 10, 0, 0, 10, 0, "SUCCESS"), ("orders", 10, 1, 1, 11, 0, "SUCCESS"), ("shipments", 11, 0, 0, 10, 1, "WARNING")]
+
+
 @pytest.fixture
 def stored_facts(spark, conf):
     """Lines, orders, shipments and products stored as the silver layer stores them."""
