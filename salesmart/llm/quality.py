@@ -2,13 +2,15 @@
 
 Features are hashed trigrams of the text's outline (letters as ``a`` or ``A``, digits as ``0``, marks as they are), hashed
 trigrams of its bytes, and whether words repeat the word before. Weighted by inverse document frequency over all
-documents, the labelled rows give a basis of latent dimensions by singular value decomposition; their vectors and labels
-are broadcast. Each document's cosine with every labelled vector comes from one matrix product per block of documents,
-and its nearest ones vote with weights that grow with similarity.
+documents, the labelled rows give a basis of latent dimensions by singular value decomposition, in one task as their
+number is bounded; the driver gets the basis, their latent vectors and labels, and broadcasts them. Each document's
+cosine with every labelled vector comes from one matrix product per block of documents, and its nearest ones vote with
+weights that grow with similarity.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -122,20 +124,29 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
     sample = {}
     for r in _sample(labels, id_column, label_column, size).collect():
         sample.setdefault(r[0], []).append(r[1])
-    wanted = spark.createDataFrame([(i,) for i in sample], f"`{id_column}` {dict(labels.dtypes)[id_column]}")
+    wanted = spark.createDataFrame([*sample.items()], f"id {dict(labels.dtypes)[id_column]}, labels array<int>")
+    all_labels = {r[0]: r[1] for r in labels.where(F.col(label_column).isin(0, 1)).groupBy(F.col(label_column).cast("int")).count().collect()}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, at in arrays.slices(batches, text_column, most=_BLOCK_ROWS):
-            yield pa.RecordBatch.from_arrays([rows.column(id_column), pa.array([x.tobytes() for x in features(data, at)], pa.binary())], [id_column, "x"])
-
-    rows = (docs.select(id_column, text_column).join(F.broadcast(wanted), id_column, "left_semi")
-            .groupBy(id_column).agg(F.min_by(text_column, F.xxhash64(text_column)).alias(text_column)).mapInArrow(vectors, f"`{id_column}` {dict(docs.dtypes)[id_column]}, x binary").collect())
-    rows = sorted(rows, key=lambda r: r[0])
-    x = np.array([np.frombuffer(r.x, np.float32) for r in rows for _ in sample[r[0]]]).reshape(-1, FEATURES)
-    y = np.array([k for r in rows for k in sample[r[0]]], int)
-    all_labels = {r[0]: r[1] for r in labels.where(F.col(label_column).isin(0, 1)).groupBy(F.col(label_column).cast("int")).count().collect()}
-    weights = np.array([all_labels.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)])
-    return Model(idf, x, y, weights)
+        for rows, data, at in arrays.slices(batches, most=_BLOCK_ROWS):
+            found = pa.array([x.tobytes() for x in features(data, at)], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("labels"), found], ["id", "labels", "x"])
+
+    def fitted(x: np.ndarray, y: np.ndarray) -> Model:
+        return Model(idf, x, y, np.array([all_labels.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)]))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(np.frombuffer(x.as_buffer(), np.float32), own) for batch in batches for x, own in zip(batch.column("x"), batch.column("labels").to_pylist(), strict=True)]
+        if rows:
+            model = fitted(np.array([x for x, own in rows for _ in own]), np.array([k for _, own in rows for k in own], int))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = (texts.join(F.broadcast(wanted), "id").groupBy("id").agg(F.first("labels").alias("labels"), F.min_by("text", F.xxhash64("text")).alias("text"))
+            .mapInArrow(vectors, f"id {dict(docs.dtypes)[id_column]}, labels array<int>, x binary"))
+    # one task, as these are at most 2 * size ids; the vectors and their decomposition are too much for a small driver
+    models = rows.repartition(1).sortWithinPartitions("id").mapInArrow(fit, "model binary").collect()
+    return pickle.loads(models[0].model) if models else fitted(np.zeros((0, FEATURES), np.float32), np.zeros(0, int))
 
 
 def score(docs: DataFrame, model: Model, *, text_column: str = "text", keep: list[str]) -> DataFrame:

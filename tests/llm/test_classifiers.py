@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import SMALL, collected, frame  # noqa: F401
+from pyspark.sql import functions as F
 
 from salesmart.llm import language, quality, queries
 
@@ -112,3 +116,19 @@ def test_quality_learns_the_same_from_repeated_ids(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
     models = [quality.train(spark.createDataFrame(own, "doc_id long, text string").repartition(parts), labels) for own, parts in ((rows, 1), (rows[::-1], 4))]
     assert np.array_equal(models[0].known, models[1].known) and np.array_equal(models[0].labels, models[1].labels)
+
+
+def test_quality_vectors_stay_off_the_driver(spark):
+    n = 400
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *(F.sha2(F.concat("id", F.lit(f" {k}")), 256) for k in range(8))).alias("text")).repartition(3)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("quality"))
+    tracemalloc.start()
+    model = quality.train(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * quality.FEATURES * 4  # less than the vectors of the labelled rows alone
+    data, at = quality.arrays.texts(pa.array([r.text for r in docs.orderBy("doc_id").collect()], pa.string()))
+    x, y = quality.features(data, at), (np.arange(n) % 3 == 0).astype(int)
+    whole = quality.Model(model.idf, x, y, np.ones(2))
+    assert np.array_equal(model.labels, whole.labels) and np.allclose(model.known @ model.known.T, whole.known @ whole.known.T, atol=1e-3)
+    assert np.allclose(model.score(x[:50]), whole.score(x[:50]), atol=1e-3)
